@@ -19,11 +19,11 @@ def input_bytes(df: DataFrame) -> int | None:
     than its inputs, so this bounds it.  Data without file statistics (rows made
     on the driver, streaming batches) reports a huge size and counts as large.
     """
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
-    except Exception:  # no JVM handle, as in a remote session
+    jdf = getattr(df, "_jdf", None)
+    if jdf is None:  # no JVM handle, as in a remote session
         return None
+    leaves = jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def fits(df: DataFrame, limit: int) -> bool:
