@@ -50,12 +50,10 @@ def _table(name: str, columns: list[str] | None, spark: SparkSession, sf_dir: st
 
 
 def _snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nation file as a region snapshot: declared columns, whatever the file holds."""
-    source = adapted(tune(spark), sf_dir)
-    scanned = snapshot_scan(spark, "base_region", path=f"{sf_dir}/nation.parquet")
-    names = source("base_region").select("id", "region_name", "level", "big_region")
-    rows = ods.load("base_region", scanned.drop("id", "region_name", "level", "big_region").limit(0))
-    return plain(rows.unionByName(ods.load("base_region", names)).select("id", "region_name", "level", "big_region"))
+    """The nation file as a snapshot of the region table."""
+    rename = {"id": "n_nationkey", "region_name": "n_name", "parent_id": "n_regionkey"}
+    rows = snapshot_scan(tune(spark), "base_region", path=f"{sf_dir}/nation.parquet", rename=rename)
+    return plain(rows.select("id", "region_name", "parent_id"))
 
 
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

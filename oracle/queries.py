@@ -342,7 +342,8 @@ REPORTS: dict[str, str] = {
     f"where b.{_last(_BRAND, _SOLD_DAY)} order by b.order_total_amount desc, b.brand_id, r.order_total_amount desc, "
     "r.province_id limit 20",
     "audit_row_counts": _ALL,
-    "src_snapshot_scan": out("base_region", "id:i region_name level:i big_region"),
+    "src_snapshot_scan": "select cast(n_nationkey as bigint) as id, n_name as region_name, "
+    "cast(n_regionkey as bigint) as parent_id from nation",
     # The newest line of each (order, line number), found by comparing whole lines.
     "upsert_latest_by_key": "select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, "
     "strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') as l_shipdate, "

@@ -1,7 +1,7 @@
 from shoplake.sources.adapter import adapted
 from shoplake.sources.changes import cdc_records, cdc_stream, change_stream
 from shoplake.sources.logs import json_log_stream, parse_log
-from shoplake.sources.snapshot import jdbc_options, lake_scan, snapshot_scan
+from shoplake.sources.snapshot import jdbc_options, snapshot_scan
 
 __all__ = [
     "adapted",
@@ -10,7 +10,6 @@ __all__ = [
     "change_stream",
     "jdbc_options",
     "json_log_stream",
-    "lake_scan",
     "parse_log",
     "snapshot_scan",
 ]

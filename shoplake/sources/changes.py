@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake import schemas
+from shoplake.operators import files
 
 
 def cdc_records(text: DataFrame, table: str) -> DataFrame:
@@ -40,7 +43,7 @@ def cdc_stream(
     ``source`` is a directory of JSON-lines files or Kafka options (the Kafka
     package must be on the class path).  ``start="initial"`` reads everything from the
     beginning; the rows that existed before come as ``r`` records or through
-    :func:`shoplake.streaming.load_snapshot`.  ``start="latest"`` reads only what
+    :meth:`shoplake.streaming.Jobs.load_snapshot`.  ``start="latest"`` reads only what
     arrives later: Kafka's latest offsets, or for files changes from
     ``since_ms`` on.
     """
@@ -59,10 +62,16 @@ def cdc_stream(
     return records.where(F.col("ts_ms") >= since_ms) if start == "latest" else records
 
 
-def change_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Follow a lake table's change log (see :class:`shoplake.operators.tables.Lake`)."""
-    schema = spark.read.orc(path).schema
-    reader = spark.readStream.format("orc").schema(schema)
+def change_stream(
+    spark: SparkSession, path: str, columns: Sequence[tuple[str, str]], max_files: int | None = None
+) -> DataFrame:
+    """Follow a lake table: the change log of a keyed table or the files of an append-only one.
+
+    ``columns`` are its names and types; the directory may still be empty.
+    """
+    files.make(spark, path)
+    names = [name for name, _ in columns]
+    reader = spark.readStream.format("orc").schema(", ".join(f"`{name}` {typ}" for name, typ in columns))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path).withColumn("dt", F.col("dt").cast("string"))
+    return reader.load(path).select(*names)

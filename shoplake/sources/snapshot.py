@@ -1,4 +1,4 @@
-"""Bounded reads: whole tables from files or a database, and lake tables."""
+"""Bounded reads: whole tables from files or a database."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplake import schemas
-from shoplake.operators.changelog import live_rows
 
 _FETCH_SIZE = 200
 
@@ -32,27 +31,23 @@ def snapshot_scan(
     path: str | None = None,
     format: str = "parquet",
     jdbc: Mapping[str, str] | None = None,
+    rename: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """All rows of a source table, in its declared columns.
 
     Reads files under ``path`` or the table behind ``jdbc`` options (the
-    database's driver must be on the class path).
+    database's driver must be on the class path).  ``rename`` maps declared
+    columns to differently named source columns; only declared columns are read.
     """
     if (path is None) == (jdbc is None):
         raise ValueError("give either path or jdbc")
     if jdbc is not None:
-        return schemas.conform(spark.read.format("jdbc").options(**jdbc).load(), table)
-    reader = spark.read.format(format)
-    if format in ("json", "csv"):
-        reader = reader.schema(", ".join(f"{c} {t}" for c, t in schemas.fields(table).items()))
-    return schemas.conform(reader.load(path), table)
-
-
-def lake_scan(spark: SparkSession, path: str) -> DataFrame:
-    """The current rows of a lake table; deleted rows and bookkeeping columns are left out."""
-    df = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").orc(path)
-    if "dt" in df.columns:
-        df = df.withColumn("dt", df["dt"].cast("string"))
-    if "_op" in df.columns:
-        df = live_rows(df)
-    return df.drop("bucket")
+        rows = spark.read.format("jdbc").options(**jdbc).load()
+    elif format in ("json", "csv"):
+        ddl = ", ".join(f"{(rename or {}).get(c, c)} {t}" for c, t in schemas.fields(table).items())
+        rows = spark.read.format(format).schema(ddl).load(path)
+    else:
+        rows = spark.read.format(format).load(path)
+    for column, name in (rename or {}).items():
+        rows = rows.withColumnRenamed(name, column)
+    return schemas.conform(rows, table)
