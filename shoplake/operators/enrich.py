@@ -46,7 +46,8 @@ def lookup_join(
         fact = fact.withColumn("_salt", F.coalesce(salt, F.lit(0)))
         zero = F.lit(0).cast(dim.schema[dim_key].dataType)
         fact = fact.withColumn("_key", F.coalesce("_key", zero))
-        side = side.withColumn("_dim_salt", F.lit(0).cast("bigint"))
+        # Always 0, but not a literal: a literal would be folded out of the join keys.
+        side = side.withColumn("_dim_salt", F.pmod(F.xxhash64("_dim_key"), F.lit(1).cast("bigint")))
         match = (F.col("_key") == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt"))
         joined = fact.join(side, match, "left")
     drop = ("_key", "_salt", "_dim_key", "_dim_salt")
