@@ -13,8 +13,12 @@ from oracle.queries import SPECS, all_sql
 from shoplake.operators import apply_changes, audit_row_counts, change_rows, latest_nonempty_day, live_rows, retain_window
 from shoplake.plans import Warehouse, ods
 from shoplake.plans.warehouse import RULES
+from shoplake.operators.lake import Lake, scratch_root
 from shoplake.session import tune
 from shoplake.sources import adapted, cdc_records, parse_log, snapshot_scan
+from shoplake.streaming import Jobs
+from shoplake.streaming.jobs import await_all
+from shoplake.streaming.replay import write_changes, write_records
 
 # The driver's days are fixed, so "today" is too.
 AS_OF, TODAY = date(2024, 3, 1), date(2024, 2, 29)
@@ -129,6 +133,67 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(audit_row_counts({**tables, **{n: wh[n] for n in above}}))
 
 
+# --- streams: the whole tables are written as source records and worked off by the streaming jobs
+
+
+def _jobs(spark: SparkSession, sf_dir: str) -> tuple[Jobs, Callable[[str], DataFrame], str]:
+    root = scratch_root(tune(spark))
+    return Jobs(Lake(spark, f"{root}/lake"), {"availableNow": True}), adapted(spark, sf_dir), f"{root}/source"
+
+
+def _stored(jobs: Jobs, name: str, key: str) -> DataFrame:
+    return plain(jobs.lake.stored(name).select(*[c.partition(":")[0] for c in SPECS[key][1].split()]))
+
+
+def _stream_log_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    write_records(source("log_page_view"), inbox)
+    await_all([jobs.ingest_log("log_page_view", inbox)])
+    return _stored(jobs, "ods.log_page_view", "ods_log_page_view")
+
+
+def _stream_page_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    jobs.load_snapshot("user_info", source("user_info"))
+    write_records(source("log_page_view"), inbox)
+    jobs.run_once({}, {"log_page_view": inbox})
+    return _stored(jobs, "dws.log_page_stats", "dws_log_page_stats")
+
+
+def _as_created(orders: DataFrame) -> DataFrame:
+    """Orders as they were before anything happened to them: unpaid and a cent cheaper."""
+    unpaid = orders.withColumn("order_status", F.lit(1001).cast("smallint"))
+    return unpaid.withColumn("total_amount", (F.col("total_amount") - F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)"))
+
+
+def _stream_cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order is created, then updated to its present state in a later micro-batch."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    orders = source("order_info")
+    write_changes(_as_created(orders), inbox, "c", F.col("id"))
+    await_all([jobs.ingest_changes("order_info", inbox)])
+    write_changes(orders, inbox, "u", F.col("id") + (1 << 40), before=_as_created(orders))
+    await_all([jobs.ingest_changes("order_info", inbox)])
+    return _stored(jobs, "ods.order_info", "ods_order_info")
+
+
+def _stream_trade_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four change streams to facts to one aggregate; the orders are corrected after a first round."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    for table in ("user_info", "base_region", "coupon_info"):
+        jobs.load_snapshot(table, source(table))
+    jobs.build_dims()
+    orders, others = source("order_info"), ("payment_info", "refund_info", "coupon_use")
+    write_changes(_as_created(orders), f"{inbox}/order_info", "c", F.col("id"))
+    for table in others:
+        write_changes(source(table), f"{inbox}/{table}", "c", F.col("id"))
+    inboxes = {t: f"{inbox}/{t}" for t in ("order_info", *others)}
+    jobs.run_once(inboxes, {})
+    write_changes(orders, f"{inbox}/order_info", "u", F.col("id") + (1 << 40), before=_as_created(orders))
+    jobs.run_once(inboxes, {})
+    return _stored(jobs, "dws.trade_user_stats", "dws_trade_user_stats")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The daily trade dashboard, from raw rows to key figures."""
     return _table("ads.gmv_realtime_dashboard", None, spark, "/root/testdata/sf0.001")
@@ -148,6 +213,10 @@ def queries() -> dict[str, Query]:
         "upsert_latest_by_key": _upsert,
         "dws_retention_window": _retention_window,
         "latest_nonempty_day": _latest_day,
+        "stream_log_ingest": _stream_log_ingest,
+        "stream_page_stats": _stream_page_stats,
+        "stream_cdc_upsert": _stream_cdc_upsert,
+        "stream_trade_user_stats": _stream_trade_user_stats,
     }
 
 

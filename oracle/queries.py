@@ -229,6 +229,15 @@ SPECS: dict[str, tuple[str, str]] = {
     ),
 }
 
+# A stream must end where the batch plan does.
+for _stream, _batch in {
+    "stream_log_ingest": "ods_log_page_view",
+    "stream_page_stats": "dws_log_page_stats",
+    "stream_cdc_upsert": "ods_order_info",
+    "stream_trade_user_stats": "dws_trade_user_stats",
+}.items():
+    SPECS[_stream] = SPECS[_batch]
+
 
 def _last(table: str, cond: str) -> str:
     return f"dt = (select max(z.dt) from {table} z where {cond})"

@@ -57,6 +57,11 @@ def overwrite_snapshot(df: DataFrame, path: str) -> None:
         files.remove(spark, f"{path}/{old}")
 
 
+def overwrite_days(df: DataFrame, path: str, whole: bool) -> None:
+    """Replace the whole of a table partitioned by day, or only the days ``df`` has."""
+    _write(_sized(df, "dt"), path, ["dt"], partitionOverwriteMode="static" if whole else "dynamic")
+
+
 # --- append-only ---------------------------------------------------------------
 
 

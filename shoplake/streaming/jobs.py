@@ -19,7 +19,14 @@ from pyspark.sql.streaming.query import StreamingQuery
 from shoplake import schemas
 from shoplake.operators import affected_groups, change_rows
 from shoplake.operators.lake import Lake, empty
-from shoplake.operators.sinks import append_log, log_changes, multi_sink, overwrite_snapshot, upsert_partitioned
+from shoplake.operators.sinks import (
+    append_log,
+    log_changes,
+    multi_sink,
+    overwrite_days,
+    overwrite_snapshot,
+    upsert_partitioned,
+)
 from shoplake.plans import ods
 from shoplake.plans.warehouse import REFRESHED, RULES, Warehouse
 from shoplake.session import tune
@@ -59,7 +66,7 @@ class Jobs:
         overwrite_snapshot(ods.load(table, rows), self.lake.path(f"ods.{table}"))
 
     def build(self, name: str) -> None:
-        """Compute a table from the stored tables below it and replace it (dimensions, refreshed aggregates)."""
+        """Compute a table from the stored tables below it and replace it (dimensions)."""
         build, inputs = RULES[name]
         overwrite_snapshot(build(*[self._input(i) for i in inputs]), self.lake.path(name))
 
@@ -67,10 +74,18 @@ class Jobs:
         for table in ("base_brand", "base_dic", "base_region", "base_category", *KEYED_DIMS):
             self.build(f"dim.{table}")
 
-    def refresh(self) -> None:
-        """Recompute the scheduled aggregates in full."""
-        for table in REFRESHED:
-            self.build(f"dws.{table}")
+    def refresh(self, tables: Sequence[str] = REFRESHED, days: Sequence[str] | None = None) -> None:
+        """Recompute the scheduled aggregates: in full, or only for the given days.
+
+        Every one of them has the day in its key, so the days whose facts have
+        changed can be recomputed alone; only their partitions are read and replaced.
+        """
+        for table in tables:
+            build, inputs = RULES[f"dws.{table}"]
+            facts = [self._input(i) for i in inputs]
+            if days is not None:
+                facts = [f.where(F.col("dt").isin(list(days))) for f in facts]
+            overwrite_days(build(*facts), self.lake.path(f"dws.{table}"), whole=days is None)
 
     def warehouse(self, **days) -> Warehouse:
         """Views and reports over the stored tables."""
