@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracle.queries import SPECS, all_sql
-from shoplake.operators import apply_changes, audit_row_counts, change_rows, latest_nonempty_day, live_rows, retain_window
+from shoplake.operators import (
+    apply_changes,
+    audit_row_counts,
+    change_rows,
+    latest_nonempty_day,
+    live_rows,
+    retain_window,
+    sizing,
+)
 from shoplake.plans import Warehouse, ods
 from shoplake.plans.warehouse import RULES
 from shoplake.operators.lake import Lake, scratch_root
@@ -137,8 +145,10 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _jobs(spark: SparkSession, sf_dir: str) -> tuple[Jobs, Callable[[str], DataFrame], str]:
-    root = scratch_root(tune(spark))
-    return Jobs(Lake(spark, f"{root}/lake"), {"availableNow": True}), adapted(spark, sf_dir), f"{root}/source"
+    root, source = scratch_root(tune(spark)), adapted(spark, sf_dir)
+    # One piece of a day per 16 GB of order lines in all: about that much is rewritten at a time, however large the input.
+    buckets = 1 + (sizing.input_bytes(source("lineitem")) or 0) // (16 << 30)
+    return Jobs(Lake(spark, f"{root}/lake", buckets), {"availableNow": True}), source, f"{root}/source"
 
 
 def _stored(jobs: Jobs, name: str, key: str) -> DataFrame:
@@ -156,7 +166,7 @@ def _stream_page_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs, source, inbox = _jobs(spark, sf_dir)
     jobs.load_snapshot("user_info", source("user_info"))
     write_records(source("log_page_view"), inbox)
-    jobs.run_once({}, {"log_page_view": inbox})
+    jobs.run_once({}, {"log_page_view": inbox}, ["log_page_stats"])
     return _stored(jobs, "dws.log_page_stats", "dws_log_page_stats")
 
 
@@ -187,10 +197,9 @@ def _stream_trade_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_changes(_as_created(orders), f"{inbox}/order_info", "c", F.col("id"))
     for table in others:
         write_changes(source(table), f"{inbox}/{table}", "c", F.col("id"))
-    inboxes = {t: f"{inbox}/{t}" for t in ("order_info", *others)}
-    jobs.run_once(inboxes, {})
+    jobs.run_once({t: f"{inbox}/{t}" for t in ("order_info", *others)}, {}, ["trade_user_stats"])
     write_changes(orders, f"{inbox}/order_info", "u", F.col("id") + (1 << 40), before=_as_created(orders))
-    jobs.run_once(inboxes, {})
+    jobs.run_once({"order_info": f"{inbox}/order_info"}, {}, ["trade_user_stats"])
     return _stored(jobs, "dws.trade_user_stats", "dws_trade_user_stats")
 
 

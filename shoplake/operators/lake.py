@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shoplake import schemas
 from shoplake.operators import files
 from shoplake.operators.changelog import live_rows
-from shoplake.operators.sinks import current_version
+from shoplake.operators.sinks import BUCKETS, current_version
 
 
 
@@ -30,10 +30,12 @@ class Lake:
     """Tables under one root, named ``layer.table``.
 
     Each keyed table has a change log beside it, which jobs downstream follow.
+    ``buckets`` is how many pieces a day of a keyed table is cut into; an upsert
+    rewrites the pieces it touches.  Keep it the same for the life of a lake.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"

@@ -8,17 +8,19 @@ gives the same table).
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.operators import files
+from shoplake.operators import files, sizing
 from shoplake.operators.changelog import ORDER, apply_changes
 
 _STAGING = "_staging"
 _VERSIONS_KEPT = 2
+_SMALL_ROWS, _SMALL_BYTES = 1_000_000, 256 * sizing.MB
 BUCKETS = 4
 
 
@@ -27,9 +29,17 @@ def _write(df: DataFrame, path: str, partition: Sequence[str] = (), mode: str =
     (writer.partitionBy(*partition) if partition else writer).orc(path)
 
 
-def _sized(df: DataFrame, *columns: str) -> DataFrame:
-    """Group rows by partition directory; adaptive execution splits large directories and merges small ones."""
-    return df.hint("rebalance", *[F.col(c) for c in columns])
+def _sized(df: DataFrame, *columns: str, small: bool = False) -> DataFrame:
+    """Group rows by partition directory.
+
+    Adaptive execution gives a large directory to several tasks and many small
+    ones to one.  A batch known to be small is spread over the cores instead:
+    it waits for creating files, not for data.
+    """
+    cols = [F.col(c) for c in columns]
+    if small:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *cols)
+    return df.hint("rebalance", *cols)
 
 
 # --- snapshots -----------------------------------------------------------------
@@ -85,12 +95,12 @@ def with_bucket(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
-def _parts_of(rows: DataFrame, partition: Sequence[str]) -> list[tuple]:
-    """Distinct partition values of a batch: at most its days times the buckets."""
-    return [tuple(r) for r in rows.select(*partition).distinct().collect()]
+def _parts_of(rows: DataFrame, partition: Sequence[str]) -> dict[tuple, int]:
+    """Partition values of a batch and their rows: at most its days times the buckets."""
+    return {tuple(r)[:-1]: r["n"] for r in rows.groupBy(*partition).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def _in_parts(parts: Sequence[tuple], partition: Sequence[str]) -> Column:
+def _in_parts(parts: Iterable[tuple], partition: Sequence[str]) -> Column:
     """Filter on partition columns; it prunes directories before any file is read."""
     buckets: dict[str | None, list[int]] = {}
     for part in parts:
@@ -114,8 +124,9 @@ def _publish(spark: SparkSession, path: str, depth: int) -> None:
             parts = [""]
             for _ in range(depth):
                 parts = [f"{p}/{d}" for p in parts for d in files.subdirectories(spark, staged + p)]
-            for part in parts:
-                files.move(spark, staged + part, path + part)
+            # Renames only wait for the file system, so several run at a time.
+            with ThreadPoolExecutor(16) as pool:
+                list(pool.map(lambda part: files.move(spark, staged + part, path + part), parts))
         files.remove(spark, staged)
 
 
@@ -143,12 +154,14 @@ def upsert_partitioned(
     parts = _parts_of(changes.where(F.col("_op") != "B"), parts_by)
     if not parts:
         return
-    current = None
+    current, small = None, sum(parts.values()) <= _SMALL_ROWS
     if files.subdirectories(spark, path):
         # With the schema given, day directories stay text and nothing is inferred.
-        current = spark.read.schema(changes.schema).orc(path).where(_in_parts(parts, parts_by))
+        current = spark.read.schema(changes.schema).orc(path)
+        small = small and sizing.fits(current, _SMALL_BYTES)
+        current = current.where(_in_parts(parts, parts_by))
     merged = apply_changes(current, changes, [*keys, "bucket"], order)
-    _write(_sized(merged, *parts_by), f"{path}/{_STAGING}/{batch_id}", parts_by)
+    _write(_sized(merged, *parts_by, small=small), f"{path}/{_STAGING}/{batch_id}", parts_by)
     _publish(spark, path, len(parts_by))
 
 

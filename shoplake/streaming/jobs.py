@@ -54,6 +54,8 @@ class Jobs:
     keeps running, ``{"availableNow": True}`` works off what is there and stops.
     """
 
+    _shapes: dict[str, list[tuple[str, str]]] = {}
+
     def __init__(self, lake: Lake, trigger: dict | None = None, max_files: int | None = None) -> None:
         self.lake, self.spark = lake, lake.spark
         self.trigger = trigger or {"processingTime": "10 seconds"}
@@ -92,15 +94,19 @@ class Jobs:
         return Warehouse(lambda name: self.lake.stored(name) if not name.startswith("raw.") else None, **days)
 
     def _input(self, name: str) -> DataFrame:
-        """A stored table, or its computed value where a lower layer is still empty."""
+        """A stored table; an empty one where nothing is stored yet.
+
+        A dimension that was not built is computed from the raw tables there are.
+        """
         found = self.lake.stored(name)
         if found is not None:
             return found
-        if name.startswith("ods."):
-            table = name.removeprefix("ods.")
-            return ods.load(table, empty(self.spark, table))
-        build, inputs = RULES[name]
-        return build(*[self._input(i) for i in inputs])
+        if name.startswith("dim."):
+            build, inputs = RULES[name]
+            tables = [self._input(i) for i in inputs]
+            if any(self.lake.stored(i) is not None for i in inputs):
+                return build(*tables)
+        return self.spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in self._shape(name)))
 
     # --- raw -----------------------------------------------------------------
 
@@ -168,7 +174,7 @@ class Jobs:
                 state = touched.join(groups.withColumn("_op", F.lit("U")), list(keys), "left")
                 state = state.withColumn("_op", F.coalesce("_op", F.lit("D")))
                 state = state.withColumn("_ts", F.lit(n).cast("bigint")).withColumn("_seq", F.lit(0).cast("bigint"))
-                upsert_partitioned(state, self.lake.path(name), keys=keys, batch_id=n)
+                upsert_partitioned(state, self.lake.path(name), keys=keys, batch_id=n, buckets=self.lake.buckets)
             finally:
                 touched.unpersist()
 
@@ -176,7 +182,12 @@ class Jobs:
 
     # --- all -----------------------------------------------------------------
 
-    def run_once(self, changes: Mapping[str, str | dict], logs: Mapping[str, str | dict]) -> None:
+    def run_once(
+        self,
+        changes: Mapping[str, str | dict],
+        logs: Mapping[str, str | dict],
+        aggregates: Sequence[str] = tuple(GROUPS),
+    ) -> None:
         """Work off everything that has arrived, layer by layer.
 
         ``changes`` and ``logs`` map source tables to their sources.  The tables of
@@ -189,7 +200,7 @@ class Jobs:
         facts = [t for t in (*changes, *logs) if t in (*KEYED_FACTS, *APPENDED)]
         await_all([once.enrich(t) for t in facts])
         sources = {f"dwd.{t}" for t in facts}
-        await_all([once.aggregate(t) for t in GROUPS if sources & set(RULES[f"dws.{t}"][1])])
+        await_all([once.aggregate(t) for t in aggregates if sources & set(RULES[f"dws.{t}"][1])])
 
     # --- shared --------------------------------------------------------------
 
@@ -206,7 +217,9 @@ class Jobs:
 
         def upsert(rows: DataFrame, n: int) -> None:
             partition = "dt" if "dt" in rows.columns else None
-            upsert_partitioned(rows, self.lake.path(name), keys=keys, batch_id=n, partition=partition)
+            upsert_partitioned(
+                rows, self.lake.path(name), keys=keys, batch_id=n, partition=partition, buckets=self.lake.buckets
+            )
 
         def log(rows: DataFrame, n: int) -> None:
             log_changes(rows, self.lake.changes(name), n)
@@ -224,16 +237,16 @@ class Jobs:
         return change_stream(self.spark, self.lake.path(name), self._shape(name), self.max_files)
 
     def _shape(self, name: str) -> list[tuple[str, str]]:
-        """Column names and types of a raw or fact table."""
-
-        def nothing(of: str) -> DataFrame:
-            table = of.removeprefix("ods.")
-            return ods.load(table, empty(self.spark, table)) if of.startswith("ods.") else self._input(of)
-
-        if name.startswith("ods."):
-            return nothing(name).dtypes
-        build, inputs = RULES[name]
-        return build(*[nothing(i) for i in inputs]).dtypes
+        """Column names and types of a raw, dimension or fact table."""
+        if name not in self._shapes:
+            build, inputs = RULES[name]
+            if name.startswith("ods."):
+                rows = [empty(self.spark, name.removeprefix("ods."))]
+            else:
+                ddl = [", ".join(f"`{c}` {t}" for c, t in self._shape(i)) for i in inputs]
+                rows = [self.spark.createDataFrame([], columns) for columns in ddl]
+            self._shapes[name] = build(*rows).dtypes
+        return self._shapes[name]
 
 
 def await_all(queries: Sequence[StreamingQuery]) -> None:
