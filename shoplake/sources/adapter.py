@@ -43,16 +43,18 @@ STATEMENTS = {
     # lineitem repeats (orderkey, linenumber): the newest line wins, as in a keyed table.
     "li": "select * from (select *, row_number() over (partition by l_orderkey, l_linenumber "
     f"order by {_LI_ORDER}) as _rn from {{lineitem}}) t where _rn = 1",
-    "ty": "select p_type, dense_rank() over (order by p_type) as t_rank from (select distinct p_type from {part}) x",
+    # Types and sizes are code lists (some hundred at most), so numbering the types in one window is cheap.
+    "pt": "select distinct p_type, p_size from {part}",
+    "ty": "select p_type, dense_rank() over (order by p_type) as t_rank from (select distinct p_type from {pt}) x",
+    "pc": "select p.p_type, p_size, t_rank from {pt} p join {ty} ty on p.p_type = ty.p_type",
     "ev": "select event_id, ts, user_id, event_type, cast({JSON_K} as bigint) as k, value, "
     "concat('mid_', cast(user_id % 50 as string)) as mid from {events}",
     "pv": "select event_id, mid, user_id, k, value, ts from {ev} where event_type = 'view'",
     "base_brand": "select distinct cast(substring(p_brand, 7) as bigint) as id, p_brand as brand_name from {part}",
-    "base_category": "select distinct 10000 + t_rank * 100 + p_size as id, concat(p.p_type, '/', "
-    "cast(p_size % 3 as string), '/', cast(p_size as string)) as category_name, cast(3 as tinyint) as level, "
-    "1000 + t_rank * 10 + p_size % 3 as parent_id from {part} p join {ty} ty on p.p_type = ty.p_type "
-    "union all select distinct 1000 + t_rank * 10 + p_size % 3, concat(p.p_type, '/', cast(p_size % 3 as string)), "
-    "cast(2 as tinyint), 100 + t_rank from {part} p join {ty} ty on p.p_type = ty.p_type "
+    "base_category": "select 10000 + t_rank * 100 + p_size as id, concat(p_type, '/', cast(p_size % 3 as string), '/', "
+    "cast(p_size as string)) as category_name, cast(3 as tinyint) as level, 1000 + t_rank * 10 + p_size % 3 as parent_id "
+    "from {pc} union all select distinct 1000 + t_rank * 10 + p_size % 3, concat(p_type, '/', "
+    "cast(p_size % 3 as string)), cast(2 as tinyint), 100 + t_rank from {pc} "
     "union all select 100 + t_rank, p_type, cast(1 as tinyint), cast(null as bigint) from {ty}",
     # The code table lists the codes that occur.
     "base_dic": "select cast(type_no * 100 + dense_rank() over (partition by dic_type order by code) as bigint) as id, "
