@@ -12,6 +12,14 @@ from shoplake.operators import sizing
 _NULL_SPREAD = 1024
 
 
+def _identity(fact: DataFrame) -> list[str]:
+    """Few columns that tell rows apart; using all would keep them from being pruned."""
+    for known in (["id"], ["mid", "create_time"]):
+        if set(known) <= set(fact.columns):
+            return known
+    return [c for c in fact.columns if c != "_key"]
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -41,8 +49,8 @@ def lookup_join(
     if sizing.fits(dim, broadcast_bytes):
         joined = fact.join(F.broadcast(side), F.col("_key") == F.col("_dim_key"), "left")
     else:
-        # An unmatched row hashes on all its values, so equal NULL keys no longer share one partition.
-        salt = F.when(F.col("_key").isNull(), F.pmod(F.xxhash64(*fact.columns), F.lit(_NULL_SPREAD)) + 1)
+        # A row that cannot match hashes on what tells it from others, so NULL keys no longer share one partition.
+        salt = F.when(F.col("_key").isNull(), F.pmod(F.xxhash64(*_identity(fact)), F.lit(_NULL_SPREAD)) + 1)
         fact = fact.withColumn("_salt", F.coalesce(salt, F.lit(0)))
         zero = F.lit(0).cast(dim.schema[dim_key].dataType)
         fact = fact.withColumn("_key", F.coalesce("_key", zero))
