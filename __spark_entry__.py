@@ -38,17 +38,17 @@ def plain(df: DataFrame) -> DataFrame:
     """Types both engines print alike: whole numbers as bigint, other numbers as double, days and times as text."""
     cols = []
     for name, typ in df.dtypes:
-        col = F.col(name)
+        form = "`{}`"
         if typ.startswith("decimal") or typ in ("float", "double"):
-            col = col.cast("double")
+            form = "cast(`{}` as double) as `{}`"
         elif typ in ("tinyint", "smallint", "int", "bigint"):
-            col = col.cast("bigint")
+            form = "cast(`{}` as bigint) as `{}`"
         elif typ == "date":
-            col = col.cast("string")
+            form = "cast(`{}` as string) as `{}`"
         elif typ.startswith("timestamp"):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-        cols.append(col.alias(name))
-    return df.select(*cols)
+            form = "date_format(`{}`, 'yyyy-MM-dd HH:mm:ss') as `{}`"
+        cols.append(form.format(name, name))
+    return df.selectExpr(*cols)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

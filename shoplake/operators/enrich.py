@@ -12,12 +12,12 @@ from shoplake.operators import sizing
 _NULL_SPREAD = 1024
 
 
-def _identity(fact: DataFrame) -> list[str]:
+def _identity(columns: list[str]) -> list[str]:
     """Few columns that tell rows apart; using all would keep them from being pruned."""
     for known in (["id"], ["mid", "create_time"]):
-        if set(known) <= set(fact.columns):
+        if set(known) <= set(columns):
             return known
-    return [c for c in fact.columns if c != "_key"]
+    return columns
 
 
 def lookup_join(
@@ -42,25 +42,24 @@ def lookup_join(
     """
     key, dim_key = on
     key = F.col(key) if isinstance(key, str) else key
-    key = key.cast(dim.schema[dim_key].dataType)
+    typ = dim.schema[dim_key].dataType.simpleString()
+    key = key.cast(typ)
     key = key if cond is None else F.when(cond, key)
-    side = dim.select(F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(f"_dim_{out}") for out, c in cols.items()])
+    columns = fact.columns
     fact = fact.withColumn("_key", key)
+    side = [f"`{dim_key}` as _dim_key", *[f"`{c}` as `_dim_{out}`" for out, c in cols.items()]]
     if sizing.fits(dim, broadcast_bytes):
-        joined = fact.join(F.broadcast(side), F.col("_key") == F.col("_dim_key"), "left")
+        joined = fact.join(F.broadcast(dim.selectExpr(*side)), F.col("_key") == F.col("_dim_key"), "left")
     else:
         # A row that cannot match hashes on what tells it from others, so NULL keys no longer share one partition.
-        salt = F.when(F.col("_key").isNull(), F.pmod(F.xxhash64(*_identity(fact)), F.lit(_NULL_SPREAD)) + 1)
-        fact = fact.withColumn("_salt", F.coalesce(salt, F.lit(0)))
-        zero = F.lit(0).cast(dim.schema[dim_key].dataType)
-        fact = fact.withColumn("_key", F.coalesce("_key", zero))
+        identity = ", ".join(f"`{c}`" for c in _identity(columns))
+        salt = f"if(_key is null, pmod(xxhash64({identity}), {_NULL_SPREAD}L) + 1, 0L) as _salt"
+        fact = fact.selectExpr(*[f"`{c}`" for c in columns], salt, f"coalesce(_key, cast(0 as {typ})) as _key")
         # Always 0, but not a literal: a literal would be folded out of the join keys.
-        side = side.withColumn("_dim_salt", F.pmod(F.xxhash64("_dim_key"), F.lit(1).cast("bigint")))
+        zero = f"pmod(xxhash64(`{dim_key}`), 1L) as _dim_salt"
         match = (F.col("_key") == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt"))
-        joined = fact.join(side, match, "left")
-    drop = ("_key", "_salt", "_dim_key", "_dim_salt")
-    kept = [F.col(c) for c in fact.columns if c not in drop]
-    return joined.select(*kept, *[F.col(f"_dim_{out}").alias(out) for out in cols])
+        joined = fact.join(dim.selectExpr(*side, zero), match, "left")
+    return joined.selectExpr(*[f"`{c}`" for c in columns], *[f"`_dim_{out}` as `{out}`" for out in cols])
 
 
 def flatten_tree(

@@ -5,31 +5,31 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def union_measures(
-    sources: Sequence[tuple[DataFrame, Mapping[str, Column]]],
+    sources: Sequence[tuple[DataFrame, Mapping[str, str]]],
     keys: Sequence[str],
     attrs: Sequence[str],
     types: Mapping[str, str],
 ) -> DataFrame:
     """One row per key with every measure summed over all sources.
 
-    Each source gives some of the measures in ``types`` (name -> type); the
-    others count as 0.  Attributes are carried as the largest non-NULL value,
-    an attribute a source lacks is NULL there.  Rows with a NULL key are left
-    out.  ``dt`` becomes a date.
+    Each source gives some of the measures in ``types`` (name -> type) as SQL
+    expressions of its columns; the others count as 0.  Attributes are carried
+    as the largest non-NULL value, an attribute a source lacks is NULL there.
+    Rows with a NULL key are left out.  ``dt`` becomes a date.
     """
 
-    def aligned(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
-        key_cols = [F.col(k).cast("date").alias(k) if k == "dt" else F.col(k) for k in keys]
-        attr_cols = [(F.col(a) if a in df.columns else F.lit(None)).alias(a) for a in attrs]
-        sums = [measures.get(m, F.lit(0)).cast(t).alias(m) for m, t in types.items()]
-        return df.dropna(subset=list(keys)).select(*key_cols, *attr_cols, *sums)
+    def aligned(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:
+        have = set(df.columns)
+        key_cols = [f"cast({k} as date) as {k}" if k == "dt" else k for k in keys]
+        attr_cols = [a if a in have else f"null as {a}" for a in attrs]
+        sums = [f"cast({measures.get(m, '0')} as {t}) as {m}" for m, t in types.items()]
+        return df.dropna(subset=list(keys)).selectExpr(*key_cols, *attr_cols, *sums)
 
     rows = reduce(DataFrame.unionByName, [aligned(df, measures) for df, measures in sources])
-    return rows.groupBy(*keys).agg(
-        *[F.max(a).alias(a) for a in attrs], *[F.sum(m).cast(t).alias(m) for m, t in types.items()]
-    )
+    largest = [F.expr(f"max({a}) as {a}") for a in attrs]
+    return rows.groupBy(*keys).agg(*largest, *[F.expr(f"cast(sum({m}) as {t}) as {m}") for m, t in types.items()])

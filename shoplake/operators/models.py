@@ -94,7 +94,9 @@ def rfm(df: DataFrame, as_of: date | Column, user: str = "user_id", day: str = "
         )
     )
     axes = ("recency", "frequency", "monetary")
-    means = raw.agg(F.struct(*[ratio(F.sum(a), F.count(a)).alias(a) for a in axes]).alias("means")).scalar()
+    # Counting the other columns keeps both uses of ``raw`` alike, so its shuffle is done once and used twice.
+    alike = [F.count(c).alias(c) for c in ("user_nick_name", "user_level")]
+    means = raw.agg(F.struct(*[ratio(F.sum(a), F.count(a)).alias(a) for a in axes], *alike).alias("means")).scalar()
     scored = raw.withColumn("_mean", means)
     better = {
         "r_score": F.col("recency").cast("double") <= F.col("_mean.recency"),

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame
 
+# A plan's files do not change, and a dimension is looked up many times.
+_known: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+
 MB = 1 << 20
 
 # A dimension is broadcast only while all files behind it are smaller than this.
@@ -22,8 +27,10 @@ def input_bytes(df: DataFrame) -> int | None:
     jdf = getattr(df, "_jdf", None)
     if jdf is None:  # no JVM handle, as in a remote session
         return None
-    leaves = jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if df not in _known:
+        leaves = jdf.queryExecution().analyzed().collectLeaves()
+        _known[df] = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return _known[df]
 
 
 def fits(df: DataFrame, limit: int) -> bool:

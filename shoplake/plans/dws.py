@@ -30,23 +30,22 @@ def trade_user_stats(
     order_info: DataFrame, payment_info: DataFrame, refund_info: DataFrame, coupon_use: DataFrame
 ) -> DataFrame:
     """Per user and day: orders, payments, refunds and coupons, whatever their status."""
-    one = F.lit(1)
     sources = [
         (
             order_info,
             {
-                "order_count": one,
-                "order_total_amount": F.col("total_amount"),
-                "order_original_amount": F.col("original_total_amount"),
-                "order_coupon_reduce": F.col("coupon_reduce_amount"),
+                "order_count": "1",
+                "order_total_amount": "total_amount",
+                "order_original_amount": "original_total_amount",
+                "order_coupon_reduce": "coupon_reduce_amount",
             },
         ),
-        (payment_info, {"payment_count": one, "payment_total_amount": F.col("total_amount")}),
+        (payment_info, {"payment_count": "1", "payment_total_amount": "total_amount"}),
         (
             refund_info,
-            {"refund_count": one, "refund_total_amount": F.col("refund_amount"), "refund_num": F.col("refund_num")},
+            {"refund_count": "1", "refund_total_amount": "refund_amount", "refund_num": "refund_num"},
         ),
-        (coupon_use, {"coupon_count": one, "coupon_reduce_amount": F.col("coupon_reduce_amount")}),
+        (coupon_use, {"coupon_count": "1", "coupon_reduce_amount": "coupon_reduce_amount"}),
     ]
     types = {
         "order_count": "bigint",
@@ -66,19 +65,18 @@ def trade_user_stats(
 
 def trade_sku_stats(order_detail: DataFrame, cart_info: DataFrame) -> DataFrame:
     """Per sku and day: order lines, units, amounts and cart additions."""
-    one = F.lit(1)
     sources = [
         (
             order_detail,
             {
-                "order_count": one,
-                "order_sku_num": F.col("sku_num"),
-                "order_total_amount": F.col("split_total_amount"),
-                "order_coupon_reduce": F.col("split_coupon_amount"),
-                "order_activity_reduce": F.col("split_activity_amount"),
+                "order_count": "1",
+                "order_sku_num": "sku_num",
+                "order_total_amount": "split_total_amount",
+                "order_coupon_reduce": "split_coupon_amount",
+                "order_activity_reduce": "split_activity_amount",
             },
         ),
-        (cart_info, {"cart_count": one, "cart_sku_num": F.col("sku_num")}),
+        (cart_info, {"cart_count": "1", "cart_sku_num": "sku_num"}),
     ]
     attrs = [
         "sku_name", "spu_id", "spu_name", "category3_id", "category3_name", "category2_id", "category2_name",
@@ -139,7 +137,7 @@ def log_user_action_stats(
         "exposure_count": log_display,
         "error_count": log_error,
     }
-    sources = [(df, {name: F.lit(1)}) for name, df in logs.items()]
+    sources = [(df, {name: "1"}) for name, df in logs.items()]
     return union_measures(sources, ["user_id", "dt"], _USER, dict.fromkeys(logs, "bigint"))
 
 

@@ -102,9 +102,7 @@ def text_ddl(table: str) -> str:
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the declared columns in order, typed; a missing column is NULL."""
     have = set(df.columns)
-    return df.select(
-        *[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in fields(table).items()]
-    )
+    return df.selectExpr(*[f"cast({f'`{c}`' if c in have else 'null'} as {t}) as `{c}`" for c, t in fields(table).items()])
 
 
 def from_text(col: Column, typ: str) -> Column:
