@@ -20,7 +20,8 @@ def cdc_records(text: DataFrame, table: str) -> DataFrame:
     wire = schemas.text_ddl(table)
     image = f"struct<{wire.replace(' string', ': string')}>"
     envelope = F.from_json("value", f"op string, ts_ms bigint, seq bigint, before {image}, after {image}")
-    rows = text.select(envelope.alias("_e")).select("_e.*").where(F.col("op").isin("r", "c", "u", "d"))
+    # A generator parses each record once; a plain column would be parsed again for every use.
+    rows = text.select(F.inline(F.array(envelope))).where(F.col("op").isin("r", "c", "u", "d"))
 
     def typed(name: str):
         cols = [schemas.from_text(F.col(f"{name}.{c}"), t).alias(c) for c, t in schemas.fields(table).items()]

@@ -15,11 +15,13 @@ def parse_log(text: DataFrame, table: str) -> DataFrame:
     are ignored; a record that is not a JSON object is dropped.
     """
     columns = schemas.fields(table)
-    rows = text.select("value", F.from_json("value", schemas.text_ddl(table)).alias("_r"))
-    found = F.coalesce(*[F.col(f"_r.{c}") for c in columns]).isNotNull()
+    # A generator parses each record once; a plain column would be parsed again for every use.
+    parsed = F.inline(F.array(F.from_json("value", schemas.text_ddl(table))))
+    rows = text.select(F.col("value").alias("_text"), parsed)
+    found = F.coalesce(*columns).isNotNull()
     # Only a record without any known field needs the second look that tells "{}" from broken text.
-    rows = rows.where(F.ltrim("value").startswith("{") & (found | F.json_object_keys("value").isNotNull()))
-    return rows.select(*[schemas.from_text(F.col(f"_r.{c}"), t).alias(c) for c, t in columns.items()])
+    rows = rows.where(F.ltrim("_text").startswith("{") & (found | F.json_object_keys("_text").isNotNull()))
+    return rows.select(*[schemas.from_text(F.col(c), t).alias(c) for c, t in columns.items()])
 
 
 def json_log_stream(spark: SparkSession, table: str, source: str | dict, max_files: int | None = None) -> DataFrame:
