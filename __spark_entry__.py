@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from functools import partial
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,13 @@ from shoplake.streaming import Jobs
 from shoplake.streaming.jobs import await_all
 from shoplake.streaming.replay import write_changes, write_records
 
+# The corpus operators are a part of their own, which may be absent.
+if find_spec("shoplake.llm") and find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from shoplake.llm import queries as corpus
+else:
+    corpus = corpus_pipeline = None
+
 # The driver's days are fixed, so "today" is too.
 AS_OF, TODAY = date(2024, 3, 1), date(2024, 2, 29)
 
@@ -226,8 +234,9 @@ def queries() -> dict[str, Query]:
         "stream_page_stats": _stream_page_stats,
         "stream_cdc_upsert": _stream_cdc_upsert,
         "stream_trade_user_stats": _stream_trade_user_stats,
+        **({"pipeline": corpus_pipeline.run, **corpus.queries()} if corpus else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return all_sql()
+    return all_sql() | (corpus.oracle_sql() if corpus else {})
