@@ -8,13 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import bitplanes
-from shoplake.llm.common import fresh_path, table
+from shoplake.llm import bitplanes, packing, secretscan, sharding, spans, topk, urlfilter
+from shoplake.llm.common import fresh_path, saved, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+PACK_END_ID, PACK_SIZE = 1, 4096
+
+# The URL rules (host, path, verdict).
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 
 
 def op1_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +33,80 @@ def op1_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.digests(spark, path)
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return urlfilter.judged(table(spark, sf_dir, "pages"), rules)
+
+
+OP2_SQL = """
+with cut as (
+    select page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+    from pages),
+rules(h, p, v) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+    ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+judged as (
+    select c.*, (select r.h || r.p || ' ' || r.v from rules r
+        where (c.host = r.h or ends_with(c.host, '.' || r.h)) and starts_with(c.path, r.p)
+        order by length(r.h || r.p) desc limit 1) as best
+    from cut c)
+select page_id, host, path, split_part(best, ' ', 1) as rule, coalesce(split_part(best, ' ', 2), 'allow') as verdict
+from judged
+"""
+
+
+def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.sharded(table(spark, sf_dir, "documents"), shards=8)
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none)
+
+
+def op5_grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    pieces = packing.pieces(table(spark, sf_dir, "documents"), path, PACK_END_ID, PACK_SIZE)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.placed(saved(digests, "pieces"), PACK_SIZE)
+
+
+def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scanned(table(spark, sf_dir, "documents"))
+    return spans.digests(found, [r.kind for r in secretscan.BASE])
+
+
+def op10_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+OP10_SQL = """
+with whole as (
+    select vec_id, list_transform(embedding, x -> floor(64 * x::double)::bigint) as v
+    from embeddings
+    where embedding is not null
+        and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id, list_dot_product(q.v::double[], c.v::double[])::bigint as score
+    from whole q join whole c on q.vec_id <> c.vec_id
+    where q.vec_id % 20 = 0)
+select query_id, rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+where rank <= 20
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bitplane_ids": op1_bitplane_ids,
+        "op2_url_rules": op2_url_rules,
+        "op3_feistel_shards": op3_feistel_shards,
+        "op5_grouped_packing": op5_grouped_packing,
+        "op9_trigram_secrets": op9_trigram_secrets,
+        "op10_norm_bucket_topk": op10_norm_bucket_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_url_rules": OP2_SQL,
+        "op10_norm_bucket_topk": OP10_SQL,
+    }
