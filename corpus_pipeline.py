@@ -4,14 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shoplake.llm import decontaminate, neardup, packing, pii, toxicity
 from shoplake.llm.common import saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among `ids`; null is an id."""
+    ids = ids.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the clause grammar does not hold to be toxic."""
+    return toxicity.kept(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the least id.
+
+    Rows that repeat that id with the same text stay together.
+    """
+    return _only(docs, neardup.near_duplicates(docs).where("kept"))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by benchmark passages."""
+    rows = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return _only(docs, rows.where(~decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))))
+
+
+def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked and `n_chars` counted again."""
+    rows = pii.redacted(docs, pii.trained(docs))
+    return rows.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their ids (little-endian unsigned 32-bit) and their places in sequences of 4096."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), 1, 4096)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxic),
+    ("near_dedup", near_duplicate),
+    ("decontamination", benchmark),
+    ("pii", personal),
+    ("packing", pack),
+]
+
+# Toxicity, personal data and packing learn or search in ways that SQL cannot express.
 ORACLE_SQL = None
 
 

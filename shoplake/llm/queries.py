@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import bitplanes, packing, secretscan, sharding, spans, topk, urlfilter
+from shoplake.llm import bitplanes, decontaminate, neardup, packing, pii, secretscan, sharding, spans, topk, toxicity, urlfilter
 from shoplake.llm.common import fresh_path, saved, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,45 @@ def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none)
 
 
+def op4_winnowed_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
+OP4_SQL = r"""
+with item_words as (
+    select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark where text is not null and item_id is not null),
+doc_words as (
+    select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents),
+item_spans as (
+    select distinct item_id, n, array_to_string(w[a : a + n - 1], ' ') as span
+    from (select *, unnest(range(1, len(w) - n + 2)) as a from (select *, least(13, len(w)) as n from item_words where len(w) > 0))),
+doc_spans as (
+    select r, a, n, array_to_string(w[a : a + n - 1], ' ') as span
+    from (select *, unnest(range(1, greatest(len(w) - n + 2, 1))) as a
+        from doc_words cross join (select distinct n from item_spans))),
+met as (select r, a, n, item_id from doc_spans join item_spans using (span, n)),
+hit as (select r, count(*) as n_hit from (select distinct r, unnest(range(a, a + n)) as place from met) group by r),
+named as (
+    select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct r, item_id::varchar as item from met) group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc_words left join hit using (r) left join named using (r)
+"""
+
+
 def op5_grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     pieces = packing.pieces(table(spark, sf_dir, "documents"), path, PACK_END_ID, PACK_SIZE)
@@ -69,6 +108,46 @@ def op5_grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.placed(saved(digests, "pieces"), PACK_SIZE)
 
 
+def op6_clause_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = toxicity.scored(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+    held_out = toxicity.held_out(F.col("doc_id")).alias("held_out")
+    return rows.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spans.digests(pii.found(docs, pii.trained(docs)), pii.KINDS)
+
+
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+with recursive spelt as (
+    select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), x -> x <> '') as w
+    from documents),
+shingles as (
+    select distinct r, array_to_string(w[a : a + 4], ' ') as s
+    from (select *, unnest(range(1, greatest(len(w) - 3, 2))) as a from spelt where len(w) > 0)),
+sizes as (select r, count(*) as n from shingles group by r),
+pairs as (
+    select x.r as a, y.r as b, count(*) as both
+    from shingles x join shingles y on x.s = y.s and x.r <> y.r group by 1, 2),
+links as (
+    select a, b from pairs join sizes p on p.r = a join sizes q on q.r = b
+    where 100 * both >= 75 * (p.n + q.n - both)),
+reach(a, b) as (select r, r from spelt union select reach.a, links.b from reach join links on reach.b = links.a),
+least as (select a as r, min(doc_id) as component_id from reach join spelt on spelt.r = reach.b group by a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id,
+    coalesce(doc_id = component_id, component_id is null) as kept
+from spelt left join sizes using (r) left join least using (r)
+"""
+
+
 def op9_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.scanned(table(spark, sf_dir, "documents"))
     return spans.digests(found, [r.kind for r in secretscan.BASE])
@@ -99,7 +178,11 @@ def queries() -> dict[str, Query]:
         "op1_bitplane_ids": op1_bitplane_ids,
         "op2_url_rules": op2_url_rules,
         "op3_feistel_shards": op3_feistel_shards,
+        "op4_winnowed_benchmark": op4_winnowed_benchmark,
         "op5_grouped_packing": op5_grouped_packing,
+        "op6_clause_toxicity": op6_clause_toxicity,
+        "op7_boosted_pii": op7_boosted_pii,
+        "op8_hyperminhash": op8_hyperminhash,
         "op9_trigram_secrets": op9_trigram_secrets,
         "op10_norm_bucket_topk": op10_norm_bucket_topk,
     }
@@ -108,5 +191,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_url_rules": OP2_SQL,
+        "op4_winnowed_benchmark": OP4_SQL,
+        "op8_hyperminhash": OP8_SQL,
         "op10_norm_bucket_topk": OP10_SQL,
     }
