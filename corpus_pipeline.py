@@ -9,17 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import decontaminate, neardup, packing, pii, toxicity
-from shoplake.llm.common import saved, table
+from shoplake.llm.common import saved, table, without
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is among `ids`; null is an id."""
-    ids = ids.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
-
-
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the clause grammar does not hold to be toxic."""
     return toxicity.kept(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
@@ -28,15 +22,15 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the least id.
 
-    Rows that repeat that id with the same text stay together.
+    Rows that repeat an id go or stay together.
     """
-    return _only(docs, neardup.near_duplicates(docs).where("kept"))
+    return without(docs, neardup.near_duplicates(docs).where("not kept").select("doc_id"), "doc_id")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark passages."""
     rows = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, rows.where(~decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))))
+    return without(docs, rows.where(decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))).select("doc_id"), "doc_id")
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

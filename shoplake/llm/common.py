@@ -48,3 +48,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(text, UPPER, LOWER)
+
+
+# Buckets of key hashes that may be sent to every task: a million numbers at most, whatever the tables.
+BUCKETS = 1 << 20
+
+
+def _bucket(*keys: Column) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+
+
+def _marked(keys: DataFrame) -> DataFrame:
+    """The buckets that the keys fall into."""
+    return F.broadcast(keys.select(_bucket(*(keys[c] for c in keys.columns)).alias("_marked")).distinct())
+
+
+def near(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows that may have one of the keys (columns of both): all that have, and few others while the keys are few.
+
+    Made to go before a join on the keys, so that most rows need not be shuffled for it.
+    """
+    marked = _marked(keys)
+    return rows.join(marked, _bucket(*(rows[c] for c in keys.columns)) == marked["_marked"], "left_semi")
+
+
+def without(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows whose id is not among `ids` (one column); null is an id.  Only rows in a marked bucket are shuffled."""
+    ids = ids.select(ids[ids.columns[0]].alias(id_col)).distinct()
+    marked = _marked(ids)
+    clean = rows.join(marked, _bucket(rows[id_col]) == marked["_marked"], "left_anti")
+    rest = near(rows, ids)
+    return clean.unionAll(rest.join(ids, rest[id_col].eqNullSafe(ids[id_col]), "left_anti"))

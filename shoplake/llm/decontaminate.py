@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import ascii_lower, saved
+from shoplake.llm.common import ascii_lower, near, saved
 
 K, SPAN = 5, 13
 WINDOW = SPAN - K + 1
@@ -105,8 +105,8 @@ def contaminated(
 
     kept = saved(winnowed(hashed(docs, *key), *key), "winnowed")
     met = _places(kept, *key).join(marks, "hash")
-    near = F.sequence(F.greatest(F.col("at") - (WINDOW - 1), F.lit(0)), F.col("at"))
-    starts = met.select(*key, F.explode_outer(near).alias("at"), F.lit(SPAN).alias("length"))
+    around = F.sequence(F.greatest(F.col("at") - (WINDOW - 1), F.lit(0)), F.col("at"))
+    starts = met.select(*key, F.explode_outer(around).alias("at"), F.lit(SPAN).alias("length"))
     for length in lengths:
         runs = lambda df, *keys: df.select(*keys, F.posexplode_outer(_runs("hashes", length)).alias("at", "hash"))  # noqa: B023, E731
         short = runs(item_words.where(F.col("n_words") == length), "item").select("hash").distinct()
@@ -115,8 +115,9 @@ def contaminated(
         starts = starts.unionAll(hits.select(*key, "at", F.lit(length).alias("length")))
     likely = saved(starts.groupBy(*key).agg(F.collect_set(F.struct("at", "length")).alias("starts")), "likely")
 
-    same = docs["doc_id"].eqNullSafe(likely["doc_id"]) & (docs["text_hash"] == likely["text_hash"])
-    texts = docs.join(likely, same).select(docs["doc_id"], docs["text_hash"], words(F.col("text")).alias("words"), "starts")
+    some = near(docs, likely.select(*key))
+    same = some["doc_id"].eqNullSafe(likely["doc_id"]) & (some["text_hash"] == likely["text_hash"])
+    texts = some.join(likely, same).select(some["doc_id"], some["text_hash"], words(F.col("text")).alias("words"), "starts")
     inside = F.filter("starts", lambda s: s["at"] + s["length"] <= F.size("words"))
     spelt = F.transform(
         inside, lambda s: F.struct(s["at"].alias("at"), _digest("words", s["at"], s["length"]).alias("digest"))

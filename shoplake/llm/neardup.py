@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import saved
+from shoplake.llm.common import near, saved
 from shoplake.llm.components import components
 
 WORDS = 5
@@ -164,6 +164,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             sets = [shingler.set_of(t.as_py()).tobytes() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "hashes"])
 
+    docs = near(docs, nodes.select("doc_id", "text_hash"))
     same = docs["doc_id"].eqNullSafe(nodes["doc_id"]) & (docs["text_hash"] == nodes["text_hash"])
     texts = docs.join(nodes.select("node", "doc_id", "text_hash"), same).select("node", "text")
     return texts.mapInArrow(build, "node long, hashes binary").dropDuplicates(["node"])
