@@ -11,8 +11,8 @@ in two steps, neither of which lists the pairs of a group:
 1. Every node is compared with the one node of its buckets that meets most others, and linked nodes are joined.
 2. In buckets that still hold more than one component, the nodes outside the bucket's largest component are compared
    with all others, in blocks of bounded size, by estimates from the registers: the share of equal registers, corrected for
-   chance collisions.  Pairs of different components that can be 0.75 alike, by a margin of SIGMAS standard errors,
-   are confirmed on the full sets.
+   chance collisions.  Nodes of different components that can be 0.75 alike, by a margin of SIGMAS standard errors,
+   form parts, and within each part links between components are confirmed on the full sets, again in blocks.
 
 Components come from links alone, so no link between nodes that share a bucket is lost.
 """
@@ -36,7 +36,9 @@ WORDS = 5
 REGISTERS = 256
 ROWS = 5
 BANDS = REGISTERS // ROWS
+# Nodes of a block, and about how many shingles it may have (8 bytes each).
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
 SIGMAS = 4.5
 NUMERATOR, DENOMINATOR = 75, 100
 
@@ -199,8 +201,47 @@ def _stars(members: DataFrame) -> DataFrame:
     return best.where("center.node <> node").select(F.col("center.node").alias("a"), F.col("node").alias("b"))
 
 
+class _Joined:
+    """Union-find over whatever ids a block holds."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        top = x
+        while (above := self.up.get(top, top)) != top:
+            top = above
+        while (above := self.up.get(x, x)) != top:
+            self.up[x], x = top, above
+        return top
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether they were apart."""
+        x, y = self.root(x), self.root(y)
+        if x == y:
+            return False
+        self.up[max(x, y)] = min(x, y)
+        return True
+
+
+def _alike(n_a: np.ndarray, n_b: np.ndarray, small_a: np.ndarray, small_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that can be 0.75 alike, by size and estimate, and the estimates."""
+    low, high = np.minimum.outer(n_a, n_b), np.maximum.outer(n_a, n_b)
+    guess = estimates(small_a, small_b)
+    error = np.sqrt(0.75 * 0.25 / np.minimum(high, REGISTERS))
+    return (DENOMINATOR * low >= NUMERATOR * high) & (guess >= 0.75 - SIGMAS * error), guess
+
+
+def _unpacked(items: pa.StructArray) -> tuple[np.ndarray, ...]:
+    small = np.frombuffer(b"".join(items.field("small").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    return (*(items.field(c).to_numpy() for c in ("node", "comp", "n")), small)
+
+
 def _crossing(members: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and can be 0.75 alike by their estimates."""
+    """Nodes of different components that share a bucket and can be 0.75 alike, as a graph (a, b) with the same components.
+
+    A block names no more edges than connect its nodes, however many pairs of them can be alike.
+    """
     own = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     shares = own.groupBy("key", "comp").count()
     open_keys = shares.groupBy("key").agg(
@@ -214,29 +255,63 @@ def _crossing(members: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFra
     minor = rows.where("comp <> main").groupBy("key", F.col("block").alias("part"), "blocks").agg(F.collect_list(item).alias("minor"))
     minor = minor.select("key", "minor", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
 
-    def unpacked(column: pa.ListScalar) -> tuple[np.ndarray, ...]:
-        items = column.values
-        small = np.frombuffer(b"".join(items.field("small").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        return (*(items.field(c).to_numpy() for c in ("node", "comp", "n")), small)
-
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for left, right in zip(batch.column(0), batch.column(1)):
-                (a, comp_a, n_a, small_a), (b, comp_b, n_b, small_b) = unpacked(left), unpacked(right)
-                low, high = np.minimum.outer(n_a, n_b), np.maximum.outer(n_a, n_b)
-                fit = (DENOMINATOR * low >= NUMERATOR * high) & np.not_equal.outer(comp_a, comp_b)
-                if not fit.any():
-                    continue
-                error = np.sqrt(0.75 * 0.25 / np.minimum(high, REGISTERS))
-                fit &= estimates(small_a, small_b) >= 0.75 - SIGMAS * error
-                i, j = np.nonzero(fit)
-                x, y = np.minimum(a[i], b[j]), np.maximum(a[i], b[j])
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+                (a, comp_a, n_a, small_a), (b, comp_b, n_b, small_b) = _unpacked(left.values), _unpacked(right.values)
+                fit, _ = _alike(n_a, n_b, small_a, small_b)
+                i, j = np.nonzero(fit & np.not_equal.outer(comp_a, comp_b))
+                joined = _Joined()
+                edges = [(x, y) for x, y in zip(a[i].tolist(), b[j].tolist()) if joined.join(x, y)]
+                if edges:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges)], ["a", "b"])
 
     blocks = minor.join(every, ["key", "block"]).select("minor", "every")
     return blocks.mapInArrow(compare, "a long, b long").distinct()
 
 
+def _linked(crossing: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components, confirmed on the full sets: enough to join all components that any link joins.
+
+    Each connected part of the crossing graph is compared within itself, in blocks of bounded size, so a set is sent to
+    one task, or in large parts to as many as the part has blocks.  The likeliest pairs come first; pairs whose
+    components are joined by then need no look at their sets.
+    """
+    parts = components(crossing).withColumnRenamed("comp", "part")
+    rows = parts.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    rows = rows.join(nodes.select("node", "n", "small"), "node").join(sets, "node")
+    sizes = rows.groupBy("part").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / BLOCK_SHINGLES))
+    rows = rows.join(sizes.select("part", blocks.alias("blocks")), "part")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    item = F.collect_list(F.struct("node", "comp", "n", "small", "hashes"))
+    held = saved(rows.groupBy("part", "block", "blocks").agg(item.alias("items")), "blocks")
+    left = held.select("part", F.col("items").alias("left"), F.col("block").alias("first"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"))
+    pairs = left.join(held.select("part", "block", F.col("items").alias("right")), ["part", "block"]).select("left", "right")
+
+    def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right in zip(batch.column(0), batch.column(1)):
+                (a, comp_a, n_a, small_a), (b, comp_b, n_b, small_b) = _unpacked(left.values), _unpacked(right.values)
+                fit, guess = _alike(n_a, n_b, small_a, small_b)
+                i, j = np.nonzero(fit & np.not_equal.outer(comp_a, comp_b))
+                order = np.argsort(-guess[i, j], kind="stable")
+                sets_a, sets_b = left.values.field("hashes"), right.values.field("hashes")
+                joined, links = _Joined(), []
+                for x, y in zip(i[order].tolist(), j[order].tolist()):
+                    if joined.root(comp_a[x].item()) != joined.root(comp_b[y].item()):
+                        p = np.frombuffer(sets_a[x].as_buffer(), np.uint64)
+                        q = np.frombuffer(sets_b[y].as_buffer(), np.uint64)
+                        both = len(np.intersect1d(p, q, assume_unique=True))
+                        if DENOMINATOR * both >= NUMERATOR * (len(p) + len(q) - both):
+                            joined.join(comp_a[x].item(), comp_b[y].item())
+                            links.append((a[x].item(), b[y].item()))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
+
+    return pairs.mapInArrow(confirm, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (least id that links reach) and kept (the row has that id) of every row.
 
@@ -268,8 +343,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), small], ["node", "n", "small"])
 
     small = nodes.join(some, "node").select("node", "n", "sketch").mapInArrow(shrink, "node long, n long, small binary")
+    small = saved(small, "small")
     crossing = saved(_crossing(members, comps, small), "crossing")
-    more = saved(_confirmed(crossing, sets), "links")
+    more = saved(_linked(crossing, comps, small, sets), "links")
     if not more.isEmpty():
         comps = components(links.unionAll(more))
 
