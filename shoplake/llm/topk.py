@@ -172,7 +172,9 @@ def top_k(
     ranged = saved(ranged.withColumn("part", F.spark_partition_id()), "vectors")
     width = ranged.agg(F.max(F.size("v"))).first()[0] or 0
     asked = ranged.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    head = saved(ranged.orderBy(*order).select("vec_id", "v").limit(BUCKET), "head")
+    first = ranged.agg(F.min("part")).first()[0] or 0  # the parts follow the order
+    head = ranged.where(F.col("part") == first).orderBy(*order).select("vec_id", "v").limit(BUCKET)
+    head = saved(head, "head")
     asked, n = numbered(asked, ["vec_id"])
     out: DataFrame | None = None
     for first in range(0, n, block):
