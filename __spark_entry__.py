@@ -64,6 +64,11 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(lambda n: source(n[4:]) if n.startswith("raw.") else None, as_of=AS_OF, today=TODAY)
 
 
+def _columns(key: str) -> list[str]:
+    """The columns of a result that the checking SQL has."""
+    return [c.partition(":")[0] for c in SPECS[key][1].split()]
+
+
 def _table(name: str, columns: list[str] | None, spark: SparkSession, sf_dir: str) -> DataFrame:
     df = warehouse(spark, sf_dir)[name]
     return plain(df.select(*columns) if columns else df)
@@ -155,12 +160,14 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _jobs(spark: SparkSession, sf_dir: str) -> tuple[Jobs, Callable[[str], DataFrame], str]:
     root, source = scratch_root(tune(spark)), adapted(spark, sf_dir)
     # One piece of a day per 16 GB of order lines in all: about that much is rewritten at a time, however large the input.
-    buckets = 1 + (sizing.input_bytes(source("lineitem")) or 0) // (16 << 30)
-    return Jobs(Lake(spark, f"{root}/lake", buckets), {"availableNow": True}), source, f"{root}/source"
+    size = sizing.input_bytes(source("lineitem"))
+    if size is None:
+        raise ValueError("the size of the input is unknown, so the lake's bucket count cannot be chosen")
+    return Jobs(Lake(spark, f"{root}/lake", 1 + size // (16 << 30)), {"availableNow": True}), source, f"{root}/source"
 
 
 def _stored(jobs: Jobs, name: str, key: str) -> DataFrame:
-    return plain(jobs.lake.stored(name).select(*[c.partition(":")[0] for c in SPECS[key][1].split()]))
+    return plain(jobs.lake.stored(name).select(*_columns(key)))
 
 
 def _stream_log_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,6 +218,52 @@ def _stream_trade_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(jobs, "dws.trade_user_stats", "dws_trade_user_stats")
 
 
+def _stream_late_rows_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the page views first, then the rows of days long past."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    jobs.load_snapshot("user_info", source("user_info"))
+    views = source("log_page_view")
+    late = F.dayofmonth("create_time") <= 15
+    for rows in (views.where(~late | late.isNull()), views.where(late)):
+        write_records(rows, inbox)
+        jobs.run_once({}, {"log_page_view": inbox}, ["log_page_stats"])
+    return _stored(jobs, "dws.log_page_stats", "dws_log_page_stats")
+
+
+def _stream_log_stats(name: str, logs: tuple[str, ...], spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    for table in ("user_info", "sku_info", "spu_info", "base_brand", "base_category"):
+        jobs.load_snapshot(table, source(table))
+    jobs.build_dims()
+    for log in logs:
+        write_records(source(log), f"{inbox}/{log}")
+    jobs.run_once({}, {log: f"{inbox}/{log}" for log in logs}, [name])
+    return _stored(jobs, f"dws.{name}", f"dws_{name}")
+
+
+def _stream_restart_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carts work their way up; the jobs start again on their checkpoints, then, with more changes, on new ones."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    for table in ("user_info", "sku_info", "spu_info", "base_brand", "base_category"):
+        jobs.load_snapshot(table, source(table))
+    jobs.build_dims()
+    carts = source("cart_info")
+    fewer = carts.withColumn("sku_num", (F.col("sku_num") - 1).cast(dict(carts.dtypes)["sku_num"]))
+    write_changes(fewer, inbox, "c", F.col("id"))
+    for _ in range(2):
+        jobs.run_once({"cart_info": inbox}, {}, [])
+    write_changes(carts, inbox, "u", F.col("id") + (1 << 40), before=fewer)
+    lake = Lake(spark, jobs.lake.root, checkpoints=f"{jobs.lake.root}/checkpoints-lost")
+    Jobs(lake, {"availableNow": True}).run_once({"cart_info": inbox}, {}, [])
+    return _stored(jobs, "dwd.cart_info", "dwd_cart_info")
+
+
+def _view_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view by its name in SQL."""
+    warehouse(spark, sf_dir).register_views("ads.region_trade_overview")
+    return plain(spark.table("ads_region_trade_overview").select(*_columns("ads_region_trade_overview")))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The daily trade dashboard, from raw rows to key figures."""
     return _table("ads.gmv_realtime_dashboard", None, spark, "/root/testdata/sf0.001")
@@ -220,7 +273,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name in [*RULES, "ads.rfm_user_segmentation", "ads.gmv_today_summary"]:
         key = name.replace(".", "_", 1)
-        columns = [c.partition(":")[0] for c in SPECS[key][1].split()] if key in SPECS else None
+        columns = _columns(key) if key in SPECS else None
         out[key] = partial(_table, name, columns)
     return out | {
         "src_snapshot_scan": _snapshot_scan,
@@ -234,6 +287,15 @@ def queries() -> dict[str, Query]:
         "stream_page_stats": _stream_page_stats,
         "stream_cdc_upsert": _stream_cdc_upsert,
         "stream_trade_user_stats": _stream_trade_user_stats,
+        "stream_sku_exposure_stats": partial(_stream_log_stats, "log_sku_exposure_stats", ("log_display",)),
+        "stream_user_action_stats": partial(
+            _stream_log_stats,
+            "log_user_action_stats",
+            ("log_startup", "log_page_view", "log_action", "log_display", "log_error"),
+        ),
+        "stream_late_rows_kept": _stream_late_rows_kept,
+        "stream_restart_idempotent": _stream_restart_idempotent,
+        "view_registration": _view_registration,
         **({"pipeline": corpus_pipeline.run, **corpus.queries()} if corpus else {}),
     }
 

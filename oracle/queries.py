@@ -235,6 +235,11 @@ for _stream, _batch in {
     "stream_page_stats": "dws_log_page_stats",
     "stream_cdc_upsert": "ods_order_info",
     "stream_trade_user_stats": "dws_trade_user_stats",
+    "stream_sku_exposure_stats": "dws_log_sku_exposure_stats",
+    "stream_user_action_stats": "dws_log_user_action_stats",
+    "stream_late_rows_kept": "dws_log_page_stats",
+    "stream_restart_idempotent": "dwd_cart_info",
+    "view_registration": "ads_region_trade_overview",
 }.items():
     SPECS[_stream] = SPECS[_batch]
 

@@ -20,6 +20,16 @@ def complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def text(spark: SparkSession, path: str) -> str:
+    """A small file's content."""
+    fs, p = _open(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def make(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.mkdirs(p)

@@ -17,11 +17,15 @@ from shoplake.operators.sinks import BUCKETS, current_version
 def scratch_root(spark: SparkSession) -> str:
     """A new folder that every executor can reach.
 
-    It lies in the cluster's checkpoint folder; a session without one (a local
-    test) gets a temporary folder.
+    It lies in the checkpoint folder.  Without one, a session whose executors run
+    in the driver's process gets a temporary folder; any other is refused, as its
+    executors would write to disks of their own.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not shared:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="shoplake-")
     return f"{shared.rstrip('/')}/shoplake-{uuid.uuid4().hex}"
 
@@ -31,11 +35,19 @@ class Lake:
 
     Each keyed table has a change log beside it, which jobs downstream follow.
     ``buckets`` is how many pieces a day of a keyed table is cut into; an upsert
-    rewrites the pieces it touches.  Keep it the same for the life of a lake.
+    rewrites the pieces it touches.  The count a lake was made with is stored in it
+    and holds from then on.  ``checkpoints`` is where its streams keep their progress.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(
+        self, spark: SparkSession, root: str, buckets: int = BUCKETS, checkpoints: str | None = None
+    ) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+        self.checkpoints = checkpoints or f"{self.root}/checkpoints"
+        made = [n for n in files.subdirectories(spark, f"{self.root}/_buckets") if n.startswith("n=")]
+        if not made:
+            files.make(spark, f"{self.root}/_buckets/n={buckets}")
+        self.buckets = int(made[0][2:]) if made else buckets
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -46,7 +58,7 @@ class Lake:
         return path
 
     def checkpoint(self, name: str) -> str:
-        return f"{self.root}/checkpoints/{name.replace('.', '/')}"
+        return f"{self.checkpoints}/{name.replace('.', '/')}"
 
     def stored(self, name: str) -> DataFrame | None:
         """The table's current rows, listed anew at every call; None if nothing is stored."""

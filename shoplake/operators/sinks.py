@@ -75,15 +75,22 @@ def overwrite_days(df: DataFrame, path: str, whole: bool) -> None:
 # --- append-only ---------------------------------------------------------------
 
 
-def append_log(df: DataFrame, path: str, batch_id: int, cluster: str = "mid") -> None:
+def append_log(df: DataFrame, path: str, batch_id: str | int, cluster: str = "mid", writer: str | None = None) -> None:
     """Append a micro-batch, partitioned by day.
 
     The batch has its own directory in each day, so a repeated batch replaces
-    its first attempt instead of adding rows twice.  ``dt`` also stays in the
+    its first attempt instead of adding rows twice.  ``writer`` names the stream: rows
+    of a log have no key, so a second stream, such as one whose checkpoint was lost,
+    would add them again; it is refused instead.  ``dt`` also stays in the
     files: a stream that starts before the first file cannot know the
     directories' columns.
     """
-    df = df.withColumn("day", F.col("dt")).withColumn("batch", F.lit(batch_id))
+    if writer:
+        others = [n for n in files.subdirectories(df.sparkSession, f"{path}/_writers") if n != writer]
+        if others:
+            raise ValueError(f"{path} holds the rows of another stream ({others[0]}): restore its checkpoint or use a new table")
+        files.make(df.sparkSession, f"{path}/_writers/{writer}")
+    df = df.withColumn("day", F.col("dt")).withColumn("batch", F.lit(str(batch_id)))
     df = _sized(df, "day").sortWithinPartitions("day", cluster)
     _write(df, path, ["day", "batch"], partitionOverwriteMode="dynamic")
 
@@ -135,17 +142,19 @@ def upsert_partitioned(
     path: str,
     *,
     keys: Sequence[str],
-    batch_id: int,
+    batch_id: str | int,
     partition: str | None = "dt",
     order: Sequence[str] = ORDER,
     buckets: int = BUCKETS,
+    replace: bool = False,
 ) -> None:
     """Fold change rows into a keyed table.
 
     The table is partitioned by day (unless ``partition`` is None) and by a
     hash bucket of the first key; only the partitions the batch touches are
     read and rewritten.  The merged partitions are staged completely before they
-    replace the old ones.
+    replace the old ones.  With ``replace`` the changes win over what is stored whatever
+    their order, as results that were computed anew must.
     """
     spark = changes.sparkSession
     parts_by = [partition, "bucket"] if partition else ["bucket"]
@@ -160,13 +169,19 @@ def upsert_partitioned(
         current = spark.read.schema(changes.schema).orc(path)
         small = small and sizing.fits(current, _SMALL_BYTES)
         current = current.where(_in_parts(parts, parts_by))
+        if replace:
+            current = current.withColumn(order[0], F.lit(-1).cast("bigint"))
     merged = apply_changes(current, changes, [*keys, "bucket"], order)
     _write(_sized(merged, *parts_by, small=small), f"{path}/{_STAGING}/{batch_id}", parts_by)
     _publish(spark, path, len(parts_by))
 
 
-def log_changes(changes: DataFrame, path: str, batch_id: int) -> None:
-    """Keep a batch's change rows for followers; a batch already logged is left as it is."""
+def log_changes(changes: DataFrame, path: str, batch_id: str | int) -> None:
+    """Keep a batch's change rows for followers; a batch already logged is left as it is.
+
+    The batch must be named by its stream too: the same number in another stream's
+    checkpoint is another batch.
+    """
     target = f"{path}/batch={batch_id}"
     if not files.complete(changes.sparkSession, target):
         _write(changes, target)
@@ -182,7 +197,7 @@ def drop_expired(spark: SparkSession, path: str, as_of: date, before: int = 30)
     return expired
 
 
-def multi_sink(batch: DataFrame, batch_id: int, writers: Sequence[Callable[[DataFrame, int], None]]) -> None:
+def multi_sink(batch: DataFrame, batch_id: str, writers: Sequence[Callable[[DataFrame, str], None]]) -> None:
     """Feed one micro-batch to several sinks, reading it once."""
     batch.persist()
     try:

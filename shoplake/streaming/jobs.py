@@ -10,6 +10,7 @@ needs no watermark and no state expiry.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from shoplake import schemas
-from shoplake.operators import affected_groups, change_rows
+from shoplake.operators import affected_groups, change_rows, files
 from shoplake.operators.lake import Lake, empty
 from shoplake.operators.sinks import (
     append_log,
@@ -44,7 +45,8 @@ KEYED_DIMS = ("coupon_info", "sku_info", "spu_info", "user_info")
 KEYED_FACTS = tuple(t for t in ods.KEYS if t in schemas.BUSINESS_TABLES)
 APPENDED = ("order_status_log", *schemas.LOG_TABLES)
 
-Handler = Callable[[DataFrame, int], None]
+# A micro-batch and its name: the stream's id and the batch number, which another checkpoint cannot repeat.
+Handler = Callable[[DataFrame, str], None]
 
 
 class Jobs:
@@ -164,7 +166,7 @@ class Jobs:
             rows = rows.select(*keys)
             changed = rows if changed is None else changed.union(rows)
 
-        def recompute(rows: DataFrame, n: int) -> None:
+        def recompute(rows: DataFrame, n: str) -> None:
             touched = rows.dropna().distinct().persist()
             try:
                 days = [r.dt for r in touched.select("dt").distinct().collect()]  # days of one batch
@@ -173,8 +175,10 @@ class Jobs:
                 # A touched group without facts left is deleted.
                 state = touched.join(groups.withColumn("_op", F.lit("U")), list(keys), "left")
                 state = state.withColumn("_op", F.coalesce("_op", F.lit("D")))
-                state = state.withColumn("_ts", F.lit(n).cast("bigint")).withColumn("_seq", F.lit(0).cast("bigint"))
-                upsert_partitioned(state, self.lake.path(name), keys=keys, batch_id=n, buckets=self.lake.buckets)
+                zero = F.lit(0).cast("bigint")
+                state = state.withColumn("_ts", zero).withColumn("_seq", zero)
+                path, buckets = self.lake.path(name), self.lake.buckets
+                upsert_partitioned(state, path, keys=keys, batch_id=n, buckets=buckets, replace=True)
             finally:
                 touched.unpersist()
 
@@ -205,29 +209,32 @@ class Jobs:
     # --- shared --------------------------------------------------------------
 
     def _start(self, name: str, rows: DataFrame, handle: Handler) -> StreamingQuery:
+        checkpoint = self.lake.checkpoint(name)
+
         def each(batch: DataFrame, batch_id: int) -> None:
             tune(batch.sparkSession)  # streams switch adaptive execution off
-            handle(batch, batch_id)
+            stream = json.loads(files.text(self.spark, f"{checkpoint}/metadata"))["id"]
+            handle(batch, f"{stream}.{batch_id}")
 
         writer = rows.writeStream.foreachBatch(each).queryName(name.replace(".", "_"))
-        return writer.option("checkpointLocation", self.lake.checkpoint(name)).trigger(**self.trigger).start()
+        return writer.option("checkpointLocation", checkpoint).trigger(**self.trigger).start()
 
-    def _fold(self, name: str, changes: DataFrame, batch_id: int, keys: Sequence[str]) -> None:
+    def _fold(self, name: str, changes: DataFrame, batch_id: str, keys: Sequence[str]) -> None:
         """Upsert a batch, then log it, so followers never run ahead of the table."""
 
-        def upsert(rows: DataFrame, n: int) -> None:
+        def upsert(rows: DataFrame, n: str) -> None:
             partition = "dt" if "dt" in rows.columns else None
             upsert_partitioned(
                 rows, self.lake.path(name), keys=keys, batch_id=n, partition=partition, buckets=self.lake.buckets
             )
 
-        def log(rows: DataFrame, n: int) -> None:
+        def log(rows: DataFrame, n: str) -> None:
             log_changes(rows, self.lake.changes(name), n)
 
         multi_sink(changes, batch_id, [upsert, log])
 
-    def _append(self, name: str, rows: DataFrame, batch_id: int, cluster: str = "mid") -> None:
-        append_log(rows, self.lake.path(name), batch_id, cluster)
+    def _append(self, name: str, rows: DataFrame, batch_id: str, cluster: str = "mid") -> None:
+        append_log(rows, self.lake.path(name), batch_id, cluster, writer=batch_id.rpartition(".")[0])
 
     def _follow_changes(self, name: str) -> DataFrame:
         columns = [(c, t) for c, t in self._shape(name)] + [("_op", "string"), ("_ts", "bigint"), ("_seq", "bigint")]

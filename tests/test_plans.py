@@ -94,3 +94,21 @@ def test_no_python_in_any_plan(spark):
     for key, query in entry.queries().items():
         if key.startswith(("ads_", "rpt_")):
             assert "Python" not in query(spark, SF)._jdf.queryExecution().optimizedPlan().toString(), key
+
+
+@pytest.mark.parametrize(
+    "key",
+    [
+        "dws_page_transition_stats",
+        "dws_log_page_stats",
+        "dws_daily_active_users",
+        "dws_daily_order_users",
+        "dws_gmv_hourly_trend",
+        "dws_log_error_stats",
+        "ads_log_funnel_analysis",
+        "ads_user_browse_retention",
+    ],
+)
+def test_no_lookup_of_columns_that_nothing_uses(spark, key):
+    plan = entry.queries()[key](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" not in plan

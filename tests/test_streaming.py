@@ -198,3 +198,27 @@ def test_expired_days_are_dropped(jobs, spark, tmp_path):
     await_all([jobs.ingest_changes("order_info", str(src))])
     assert drop_expired(spark, jobs.lake.path("ods.order_info"), date(2024, 2, 20)) == ["dt=2024-01-01"]
     assert [o[0] for o in orders(jobs)] == [2]
+
+
+def test_new_checkpoints_lose_nothing(jobs, tmp_path, spark):
+    """A lake whose checkpoints are gone works everything off again and takes up what is new."""
+    src = tmp_path / "order_info"
+    put(src, 1, [change("c", n, None, order(n, amount=f"{n}0.00")) for n in (1, 2, 3)])
+    jobs.run_once({"order_info": str(src)}, {}, ["trade_user_stats"])
+    put(src, 2, [change("c", 4, None, order(4, amount="40.00"))])
+    lake = Lake(spark, jobs.lake.root, buckets=99, checkpoints=str(tmp_path / "new"))
+    assert lake.buckets == jobs.lake.buckets
+    Jobs(lake, {"availableNow": True}, max_files=1).run_once({"order_info": str(src)}, {}, ["trade_user_stats"])
+    stats = jobs.lake.stored("dws.trade_user_stats").collect()
+    assert [(r.order_count, r.order_total_amount) for r in stats] == [(4, 100)]
+    assert jobs.lake.stored("dwd.order_info").count() == 4
+
+
+def test_a_log_refuses_a_second_stream(jobs, tmp_path, spark):
+    src = tmp_path / "views"
+    put(src, 1, [{"mid": "m", "user_id": 1, "page_id": "p", "create_time": "2024-01-01 10:00:00.000"}])
+    jobs.run_once({}, {"log_page_view": str(src)}, [])
+    other = Jobs(Lake(spark, jobs.lake.root, checkpoints=str(tmp_path / "new")), {"availableNow": True})
+    with pytest.raises(Exception, match="another stream"):
+        other.run_once({}, {"log_page_view": str(src)}, [])
+    assert jobs.lake.stored("ods.log_page_view").count() == 1
