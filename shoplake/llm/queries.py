@@ -126,20 +126,20 @@ def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 with recursive spelt as (
-    select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(
+    select row_number() over () as r, doc_id, [x for x in regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x20\x09-\x0D]+'), x -> x <> '') as w
+        '[\x20\x09-\x0D]+') if x <> ''] as w
     from documents),
 shingles as (
     select distinct r, array_to_string(w[a : a + 4], ' ') as s
     from (select *, unnest(range(1, greatest(len(w) - 3, 2))) as a from spelt where len(w) > 0)),
 sizes as (select r, count(*) as n from shingles group by r),
 pairs as (
-    select x.r as a, y.r as b, count(*) as both
+    select x.r as a, y.r as b, count(*) as common
     from shingles x join shingles y on x.s = y.s and x.r <> y.r group by 1, 2),
 links as (
     select a, b from pairs join sizes p on p.r = a join sizes q on q.r = b
-    where 100 * both >= 75 * (p.n + q.n - both)),
+    where 100 * common >= 75 * (p.n + q.n - common)),
 reach(a, b) as (select r, r from spelt union select reach.a, links.b from reach join links on reach.b = links.a),
 least as (select a as r, min(doc_id) as component_id from reach join spelt on spelt.r = reach.b group by a)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id,
@@ -159,10 +159,10 @@ def op10_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = """
 with whole as (
-    select vec_id, list_transform(embedding, x -> floor(64 * x::double)::bigint) as v
+    select vec_id, [floor(64 * x::double)::bigint for x in embedding] as v
     from embeddings
     where embedding is not null
-        and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0),
+        and len([1 for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
 scored as (
     select q.vec_id as query_id, c.vec_id, list_dot_product(q.v::double[], c.v::double[])::bigint as score
     from whole q join whole c on q.vec_id <> c.vec_id
