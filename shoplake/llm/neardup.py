@@ -240,7 +240,8 @@ def _unpacked(items: pa.StructArray) -> tuple[np.ndarray, ...]:
 def _crossing(members: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
     """Nodes of different components that share a bucket and can be 0.75 alike, as a graph (a, b) with the same components.
 
-    A block names no more edges than connect its nodes, however many pairs of them can be alike.
+    A block names an edge from the least node of each of its parts to each other one, however many pairs can be alike, so
+    the edges of many buckets of one group are mostly the same.
     """
     own = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     shares = own.groupBy("key", "comp").count()
@@ -261,8 +262,10 @@ def _crossing(members: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFra
                 (a, comp_a, n_a, small_a), (b, comp_b, n_b, small_b) = _unpacked(left.values), _unpacked(right.values)
                 fit, _ = _alike(n_a, n_b, small_a, small_b)
                 i, j = np.nonzero(fit & np.not_equal.outer(comp_a, comp_b))
-                joined = _Joined()
-                edges = [(x, y) for x, y in zip(a[i].tolist(), b[j].tolist()) if joined.join(x, y)]
+                joined, x, y = _Joined(), a[i].tolist(), b[j].tolist()
+                for pair in zip(x, y):
+                    joined.join(*pair)
+                edges = [(top, node) for node in {*x, *y} if (top := joined.root(node)) != node]
                 if edges:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges)], ["a", "b"])
 
