@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 SAMPLE = 20_000
 LEXICON = 5_000  # learned entries at most; the test lets through far fewer
 STARTS = (4, 5, 6, 7, 8)  # lengths of word beginnings that are learned beside whole words
+WORDS_OF_A_START = 3  # a beginning that fewer words share says no more than the words themselves
 
 # The grammar's own words.
 INSULTS = (
@@ -178,7 +179,12 @@ def lexicon(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     starts = [F.transform(F.filter("words", lambda w: F.length(w) > n), lambda w: F.concat(F.left(w, F.lit(n)), F.lit("*"))) for n in STARTS]
     units = docs.select("toxic", F.explode_outer(F.array_distinct(F.concat("words", *starts))).alias("unit"))
     counts = units.groupBy("unit").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    stems = F.array(*(F.when(F.length("unit") > n, F.concat(F.left("unit", F.lit(n)), F.lit("*"))) for n in STARTS))
+    stems = counts.where(~F.col("unit").endswith("*")).select(F.explode_outer(F.array_compact(stems)).alias("unit"))
+    shared = stems.groupBy("unit").count().where(F.col("count") >= WORDS_OF_A_START).select("unit")
     counts = counts.where(F.col("bad") + F.col("good") >= 3)
+    is_start = F.col("unit").endswith("*")
+    counts = counts.where(~is_start).unionAll(counts.where(is_start).join(shared, "unit", "left_semi"))
     sizes = docs.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).first()
     bad, good = sizes.bad or 0, sizes.good or 0
     if not bad or not good:

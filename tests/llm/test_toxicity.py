@@ -42,7 +42,8 @@ def rows_of(spark, given, labels):
 
 
 def test_learns_words_and_handles_odd_rows(spark):
-    given = [(i, f"some plain words number{i % 7} " + ("grumpfen here" if i % 3 == 0 else "good there")) for i in range(300)]
+    name = lambda i: "".join(chr(97 + int(d)) for d in str(i * 7919 % 1000))
+    given = [(i, f"some {name(i)} plain {name(i + 1)} words " + ("grumpfen here" if i % 3 == 0 else "good there")) for i in range(300)]
     labels = [(i, int(i % 3 == 0)) for i in range(300)] + [(1, None), (None, 1), (4, 7), (1000, 1)]
     given += [(400, None), (401, ""), (None, "x"), (402, "only grumpfen"), (402, "only grumpfen")]
     got = rows_of(spark, given, labels)
