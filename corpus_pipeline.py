@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import decontaminate, neardup, packing, pii, toxicity
-from shoplake.llm.common import saved, table, without
+from shoplake.llm.common import once, saved, table, without
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -19,18 +19,25 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.kept(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
 
 
-def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id.
+# What names a row: its id may be repeated with another text.
+ROW = ("doc_id", "text_hash")
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text_hash", F.xxhash64("text"))
 
-    Rows that repeat an id go or stay together.
-    """
-    return without(docs, neardup.near_duplicates(docs).where("not kept").select("doc_id"), "doc_id")
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the least id; of exact repeats of a row, one."""
+    gone = neardup.classified(docs).where("not first").select(*ROW)
+    return once(without(_named(docs), gone, *ROW), *ROW).drop("text_hash")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark passages."""
-    rows = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, rows.where(decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))).select("doc_id"), "doc_id")
+    rows = decontaminate.matched(docs, table(spark, sf_dir, "benchmark"))
+    gone = rows.where(decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))).select(*ROW)
+    return without(_named(docs), gone, *ROW).drop("text_hash")
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,10 +72,28 @@ def near(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.join(marked, _bucket(*(rows[c] for c in keys.columns)) == marked["_marked"], "left_semi")
 
 
-def without(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows whose id is not among `ids` (one column); null is an id.  Only rows in a marked bucket are shuffled."""
-    ids = ids.select(ids[ids.columns[0]].alias(id_col)).distinct()
+def _same(a: DataFrame, b: DataFrame, keys: tuple[str, ...]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & a[k].eqNullSafe(b[k])
+    return same
+
+
+def without(rows: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys are not among `ids` (as many columns); null is a key.  Only rows in a marked bucket are shuffled."""
+    ids = ids.select(*(ids[c].alias(k) for c, k in zip(ids.columns, keys, strict=True))).distinct()
     marked = _marked(ids)
-    clean = rows.join(marked, _bucket(rows[id_col]) == marked["_marked"], "left_anti")
+    clean = rows.join(marked, _bucket(*(rows[k] for k in keys)) == marked["_marked"], "left_anti")
     rest = near(rows, ids)
-    return clean.unionAll(rest.join(ids, rest[id_col].eqNullSafe(ids[id_col]), "left_anti"))
+    return clean.unionAll(rest.join(ids, _same(rest, ids, keys), "left_anti"))
+
+
+def once(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row, the least, of those that share their keys; null is a key.  Only rows in a repeated key's bucket are shuffled."""
+    again = saved(rows.groupBy(*keys).count().where("count > 1").select(*keys), "repeated")
+    marked = _marked(again)
+    bucket = _bucket(*(rows[k] for k in keys))
+    single = rows.join(marked, bucket == marked["_marked"], "left_anti")
+    others = [c for c in rows.columns if c not in keys]
+    least = near(rows, again).groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+    return single.unionAll(least.select(*(c if c in keys else F.col("_row")[c].alias(c) for c in rows.columns)))

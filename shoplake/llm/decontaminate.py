@@ -93,6 +93,18 @@ def contaminated(
     item_text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_words, n_hit (words inside a shared span) and `items` (ids as text, sorted) of every row."""
+    return matched(docs, items, id_col, text_col, item_col, item_text_col).drop("text_hash")
+
+
+def matched(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """What `contaminated` gives, with `text_hash`, which tells rows of one id apart."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     key = ["doc_id", "text_hash"]
@@ -136,6 +148,7 @@ def contaminated(
     same = kept["doc_id"].eqNullSafe(per_doc["doc_id"]) & (kept["text_hash"] == per_doc["text_hash"])
     return kept.join(per_doc, same, "left").select(
         kept["doc_id"],
+        kept["text_hash"],
         kept["n_words"].cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

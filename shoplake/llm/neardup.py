@@ -316,10 +316,16 @@ def _linked(crossing: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataF
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`classified` without what tells rows of one id apart."""
+    return classified(docs, id_col, text_col).drop("text_hash", "first")
+
+
+def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (least id that links reach) and kept (the row has that id) of every row.
 
     Texts without words are linked with nothing.  Rows that repeat a text are one node, so all of them with the least id are
     kept.  Null ids come after all others: their component has a null id only if all of its rows have, and is then kept.
+    `text_hash` and the id name a row; `first` holds for one such name of each component, the least one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
@@ -352,12 +358,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         comps = components(links.unionAll(more))
 
-    named = nodes.select("node", "set_id", "doc_id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = nodes.select("node", "set_id", "doc_id", "text_hash").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = saved(named, "classes")
-    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    classes = named.join(least, "comp").select("set_id", "component_id")
-    out = sketches.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left")
+    row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row")
+    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"), row)
+    classes = named.select("comp", "set_id").join(least, "comp").select("set_id", "component_id", "row")
+    out = sketches.select("doc_id", "text_hash", "n_shingles", "set_id").join(classes, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    first = F.col("doc_id").eqNullSafe(F.col("row.doc_id")) & (F.col("text_hash") == F.col("row.text_hash"))
+    first = F.col("set_id").isNull() | F.coalesce(first, F.lit(False))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), first.alias("first")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     )

@@ -17,6 +17,24 @@ def test_without_keeps_null_and_other_rows(spark):
     assert without(rows, ids.limit(0), "doc_id").count() == 4
 
 
+def test_rows_that_repeat_an_id(spark, sf_dir):
+    """A row goes for its own text, not for another one under its id; of exact repeats one stays."""
+    item = max((r.text for r in table(spark, sf_dir, "benchmark").where("text is not null").collect()), key=len)
+    a, b, c = (" ".join(f"{word}{i}" for i in range(60)) for word in "abc")
+    given = [(1, a), (5, a), (5, b), (6, c), (6, c), (6, c + " end"), (7, item), (7, "clean words"), (8, None), (8, None), (None, "x"), (None, "x"), (None, "y")]
+    docs = spark.createDataFrame(given, "doc_id long, text string").selectExpr("*", "5 as n_chars")
+    stages, order = dict(corpus_pipeline.STAGES), lambda rows: sorted(rows, key=str)
+    docs = saved(stages["near_dedup"](spark, docs, sf_dir), "stage")
+    assert docs.columns == ["doc_id", "text", "n_chars"]
+    kept = [(r.doc_id, r.text) for r in docs.collect()]
+    six = [r for r in kept if r[0] == 6]
+    assert len(six) == 1 and six[0] in given
+    rest = [(1, a), (5, b), (7, item), (7, "clean words"), (8, None), (None, "x"), (None, "y")]
+    assert order(r for r in kept if r[0] != 6) == order(rest)
+    clean = [(r.doc_id, r.text) for r in stages["decontamination"](spark, docs, sf_dir).collect()]
+    assert order(clean) == order(r for r in kept if r != (7, item))
+
+
 def test_stages_one_by_one(spark, sf_dir):
     """Every stage against the same decision made row by row."""
     docs = table(spark, sf_dir, "documents")
