@@ -169,13 +169,12 @@ class Model:
 def lexicon(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Words and beginnings whose counts in toxic rows (text, toxic) chance does not explain, with log odds as weights.
 
-    Rows that share their run of three words of least hash, as copies do, count once.  An entry is kept if its log likelihood ratio
+    Rows with the same words in the same order, as copies have, count once.  An entry is kept if its log likelihood ratio
     beats the logarithm of the number of entries tried, and it is twenty times as frequent in toxic rows.
     """
     docs = rows.select("toxic", F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w).between(2, 40)).alias("said"))
-    runs = F.transform("said", lambda w, i: F.xxhash64(w, F.get("said", i + 1), F.get("said", i + 2)))
-    docs = docs.select("toxic", F.array_min(runs).alias("least"), F.array_distinct("said").alias("words"))
-    docs = docs.groupBy("least", "toxic").agg(F.min("words").alias("words"))
+    docs = docs.select("toxic", F.xxhash64("said").alias("copy"), F.array_distinct("said").alias("words"))
+    docs = docs.groupBy("copy", "toxic").agg(F.min("words").alias("words"))
     starts = [F.transform(F.filter("words", lambda w: F.length(w) > n), lambda w: F.concat(F.left(w, F.lit(n)), F.lit("*"))) for n in STARTS]
     units = docs.select("toxic", F.explode_outer(F.array_distinct(F.concat("words", *starts))).alias("unit"))
     counts = units.groupBy("unit").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))

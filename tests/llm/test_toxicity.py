@@ -67,3 +67,12 @@ def test_query(spark):
     bad = [p for y, p in held if y]
     # Some rows marked toxic hold no trace of it (cut, shouted or repeated texts), so not all can be found.
     assert sum(bad) >= 0.9 * len(bad) and sum(p for y, p in held if not y) <= 0.01 * len(held)
+
+
+def test_documents_that_share_a_passage_all_count(spark):
+    """Every row holds the same passage; the words beside it still count, and copies count once."""
+    passage = " ".join(f"licence{a}{b}" for a in "abcdefghij" for b in "abcdefghij")
+    rows = [(f"{passage} {'grumbold' if i % 2 else 'pleasant'} {'x' * (2 + i)}", i % 2) for i in range(80)]
+    rows += [("an honest sentence with copyword", 1)] * 80
+    words, _ = t.lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert "grumbold" in words and "pleasant" not in words and "copyword" not in words
