@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import bitplanes, decontaminate, neardup, packing, pii, secretscan, sharding, spans, topk, toxicity, urlfilter
+from shoplake.llm import (
+    bitplanes, decontaminate, hardneg, neardup, packing, pii, secretscan, sharding, spans, topk, toxicity, urlfilter,
+)
 from shoplake.llm.common import fresh_path, saved, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +175,37 @@ where rank <= 20
 """
 
 
+def op11_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mined(rows.withColumn("label", changed), F.col("vec_id") % 50 == 0)
+
+
+OP11_SQL = """
+with whole as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        [floor(256 * x::double)::bigint for x in embedding] as v
+    from embeddings
+    where embedding is not null and label is not null and vec_id is not null
+        and len([1 for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+scored as (
+    select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+        list_dot_product(a.v::double[], c.v::double[])::bigint as score
+    from whole a join whole c on a.vec_id <> c.vec_id
+    where a.vec_id % 50 = 0),
+positive as (
+    select anchor_id, vec_id as positive_id, score as positive_score
+    from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as r from scored where same)
+    where r <= 5),
+met as (
+    select p.*, s.vec_id as negative_id, s.score as negative_score,
+        row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)::int as rank
+    from positive p join scored s on s.anchor_id = p.anchor_id and not s.same
+        and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from met where rank <= 3
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bitplane_ids": op1_bitplane_ids,
@@ -185,6 +218,7 @@ def queries() -> dict[str, Query]:
         "op8_hyperminhash": op8_hyperminhash,
         "op9_trigram_secrets": op9_trigram_secrets,
         "op10_norm_bucket_topk": op10_norm_bucket_topk,
+        "op11_hilbert_negatives": op11_hilbert_negatives,
     }
 
 
@@ -194,4 +228,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_winnowed_benchmark": OP4_SQL,
         "op8_hyperminhash": OP8_SQL,
         "op10_norm_bucket_topk": OP10_SQL,
+        "op11_hilbert_negatives": OP11_SQL,
     }
