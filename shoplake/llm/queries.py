@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import (
-    bitplanes, decontaminate, hardneg, neardup, packing, pii, secretscan, sharding, spans, topk, toxicity, urlfilter,
+    bitplanes, decontaminate, hardneg, mixing, neardup, packing, pii, secretscan, sharding, spans, topk, toxicity, urlfilter,
 )
 from shoplake.llm.common import fresh_path, saved, table
 
@@ -206,6 +206,10 @@ select anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 """
 
 
+def op12_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mixed(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bitplane_ids": op1_bitplane_ids,
@@ -219,6 +223,7 @@ def queries() -> dict[str, Query]:
         "op9_trigram_secrets": op9_trigram_secrets,
         "op10_norm_bucket_topk": op10_norm_bucket_topk,
         "op11_hilbert_negatives": op11_hilbert_negatives,
+        "op12_multinomial_mix": op12_multinomial_mix,
     }
 
 
