@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import (
-    bitplanes, decontaminate, hardneg, mixing, neardup, packing, pii, secretscan, sharding, spans, topk, toxicity, urlfilter,
+    bitplanes, decontaminate, hardneg, merkle, mixing, neardup, packing, pii, secretscan, sharding, spans, topk, toxicity, urlfilter,
 )
 from shoplake.llm.common import fresh_path, saved, table
 
@@ -210,6 +210,11 @@ def op12_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mixed(table(spark, sf_dir, "documents")))
 
 
+def op13_bitmap_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wrong = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), wrong)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bitplane_ids": op1_bitplane_ids,
@@ -224,6 +229,7 @@ def queries() -> dict[str, Query]:
         "op10_norm_bucket_topk": op10_norm_bucket_topk,
         "op11_hilbert_negatives": op11_hilbert_negatives,
         "op12_multinomial_mix": op12_multinomial_mix,
+        "op13_bitmap_merkle": op13_bitmap_merkle,
     }
 
 
