@@ -1,8 +1,8 @@
 """Reproducible shuffle into shards: a Feistel permutation of global row numbers, with cycle walking.
 
-Rows get gapless numbers in the order of (id, crc32 and size of the text, copy).  The permutation of 0 .. n-1 depends on n and
-the key alone, so anyone can compute where row number r lies: shard = p(r) mod shards, slot = p(r) div shards.  Shards
-therefore differ by one row at most and their slots have no gaps.
+Rows get gapless numbers in the order of (id, crc32 and size of the text); rows that tie are equal in the result.  The
+permutation of 0 .. n-1 depends on n and the key alone, so anyone can compute where row number r lies: shard = p(r) mod shards,
+slot = p(r) div shards.  Shards therefore differ by one row at most and their slots have no gaps.
 
 Only DataFrame functions are used.
 """
@@ -56,20 +56,21 @@ def permuted(rows: DataFrame, number: str, n: int, key: int, steps: int = WALK)
 def numbered(rows: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
     """Adds `number`, gapless from 0 in that order over the whole table, and tells how many rows there are.
 
-    One range shuffle; the offsets of the ranges are a row for each task of it.  Nulls come first.
+    One range shuffle, which also cuts rows that tie; the offsets of the ranges are a row for each task of it, looked up by a
+    join.  Nulls come first.
     """
-    in_part = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    in_part = saved(in_part, "numbered")
-    part = F.shiftright("_at", 33)
-    counts = sorted(tuple(r) for r in in_part.groupBy(part.alias("part")).count().collect())
+    spark = rows.sparkSession
+    tied = [*order, "_tie"]
+    ranged = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*tied).sortWithinPartitions(*tied)
+    in_part = saved(ranged.withColumn("_at", F.monotonically_increasing_id()).drop("_tie"), "numbered")
+    counts = sorted(tuple(r) for r in in_part.groupBy(F.shiftright("_at", 33)).count().collect())
     starts, n = [], 0
-    for number, count in counts:
-        starts += [F.lit(number), F.lit(n).cast("long")]
+    for part, count in counts:
+        starts.append((part, n))
         n += count
-    if not starts:
-        return in_part.withColumn("number", F.col("_at")).drop("_at"), 0
-    start = F.element_at(F.create_map(*starts), part)
-    return in_part.withColumn("number", start + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at"), n
+    offsets = spark.createDataFrame(starts, "_part long, _start long")
+    found = in_part.join(offsets, F.shiftright("_at", 33) == F.col("_part"))
+    return found.select(*rows.columns, (F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)).alias("number")), n
 
 
 def sharded(
@@ -87,9 +88,7 @@ def sharded(
         F.crc32(text).alias("text_crc32"),
     )
     order = ["doc_id", "text_crc32", "size"]
-    copies = rows.groupBy(*order).count()
-    single = copies.select(*order, F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"))).alias("copy"))
-    lines, n = numbered(single, [*order, "copy"])
+    lines, n = numbered(rows, order)
     return permuted(lines, "number", n, key).select(
         "doc_id",
         "size",
