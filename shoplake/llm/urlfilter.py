@@ -17,6 +17,8 @@ from shoplake.llm.common import ascii_lower
 # Hex digits of the join key, and copies of each rule so that a host that holds most URLs is spread over as many tasks.
 PREFIX = 8
 SALTS = 16
+# Copies of a row that are given as one array.
+COPIES = 1 << 16
 
 
 def host_of(url: Column) -> Column:
@@ -84,4 +86,8 @@ def judged(
     best = met.groupBy("page_id", "url", "count", "host", "path").agg(F.max(found).alias("best"))
     verdict = F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict")
     rows = best.select("page_id", "host", "path", F.col("best.rule").alias("rule"), verdict, "count")
-    return rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count")))).drop("count", "col")
+    # A row with very many copies gives them run by run, never as one array.
+    runs = F.sequence(F.lit(0).cast("long"), F.expr(f"(count - 1) div {COPIES}"))
+    rows = rows.withColumn("_run", F.explode(runs))
+    here = F.least(F.lit(COPIES), F.col("count") - F.col("_run") * COPIES).cast("int")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), here))).drop("count", "_run", "_copy")

@@ -42,3 +42,10 @@ def test_no_rows(spark):
 def test_query_reads_two_columns(spark, sf_dir):
     plan = op2_url_rules(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "html" not in plan.split("Relation")[0]
+
+
+def test_copies_come_back_run_by_run(spark, monkeypatch):
+    monkeypatch.setattr("shoplake.llm.urlfilter.COPIES", 4)
+    pages = spark.createDataFrame([(i, "http://a.com/") for i in range(5) for _ in range(3 * i + 1)], "page_id long, url string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    assert sorted(r.page_id for r in judged(pages, rules).collect()) == sorted(r.page_id for r in pages.collect())
