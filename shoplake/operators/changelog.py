@@ -35,17 +35,48 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
 
 def apply_changes(
-    current: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ORDER
+    current: DataFrame | None,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column] = ORDER,
+    replace: bool = False,
 ) -> DataFrame:
     """Current rows after the changes; the newest change of each key wins.
 
     Deleted keys stay as ``D`` rows; read through :func:`live_rows`.  Applying
-    the same changes again, or older ones later, gives the same result.
+    the same changes again, or older ones later, gives the same result: of two rows
+    with one position the current one stays.  With ``replace`` a change wins whatever its position.
     """
     states = changes.where(F.col("_op") != "B")
-    merged = states if current is None else current.unionByName(states)
-    # Of two rows with one position (a replay), either is the same row.
-    return latest_by_key(merged, keys, order)
+    if current is None:
+        return latest_by_key(states, keys, order)
+    merged = current.withColumn("_new", F.lit(0)).unionByName(states.withColumn("_new", F.lit(1)))
+    newest = [F.col("_new"), *order] if replace else [*order, -F.col("_new")]
+    return latest_by_key(merged, keys, newest).drop("_new")
+
+
+def transitions(
+    current: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER
+) -> DataFrame:
+    """What the changes really do to the table: ``B`` the row a key had, ``U`` the row it gets.
+
+    A source's own images do not tell: a change may be older than what is stored, come twice, or find another row than
+    it expected.  Summing ``U`` rows and subtracting ``B`` rows follows the table exactly.
+    """
+    new = latest_by_key(changes.where(F.col("_op") != "B"), keys, order)
+    if current is None:
+        return new.where("_op = 'U'")
+    old = current.select([F.col(k).alias(f"_{k}") for k in keys] + [F.struct(*new.columns).alias("_old")])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    met = new.select(*keys, F.struct(*new.columns).alias("_row")).join(old, same, "left")
+    position = [F.struct(*[F.col(f"{side}.{c}") for c in order]) for side in ("_row", "_old")]
+    met = met.where(F.col("_old").isNull() | (position[0] > position[1]))
+    had = F.when(F.col("_old._op") != "D", F.struct(F.lit("B").alias("_sign"), F.col("_old").alias("_of")))
+    has = F.when(F.col("_row._op") != "D", F.struct(F.lit("U").alias("_sign"), F.col("_row").alias("_of")))
+    rows = met.select(F.explode(F.array_compact(F.array(had, has))).alias("_i")).select("_i._of.*", "_i._sign")
+    return rows.withColumn("_op", F.col("_sign")).drop("_sign")
 
 
 def live_rows(df: DataFrame) -> DataFrame:

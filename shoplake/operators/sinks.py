@@ -14,9 +14,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shoplake.operators import files, sizing
-from shoplake.operators.changelog import ORDER, apply_changes
+from shoplake.operators.changelog import ORDER, apply_changes, transitions
 
 _STAGING = "_staging"
 _VERSIONS_KEPT = 2
@@ -98,8 +99,9 @@ def append_log(df: DataFrame, path: str, batch_id: str | int, cluster: str = "mi
 # --- keyed ---------------------------------------------------------------------
 
 
-def with_bucket(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+def with_bucket(df: DataFrame, key: str | Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    columns = [key] if isinstance(key, str) else key
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int"))
 
 
 def _parts_of(rows: DataFrame, partition: Sequence[str]) -> dict[tuple, int]:
@@ -137,6 +139,44 @@ def _publish(spark: SparkSession, path: str, depth: int) -> None:
         files.remove(spark, staged)
 
 
+def _current(spark: SparkSession, path: str, schema: StructType, parts: Iterable[tuple], parts_by: Sequence[str]) -> DataFrame | None:
+    """Stored rows of some partitions; None if nothing is stored yet."""
+    if not [d for d in files.subdirectories(spark, path) if not d.startswith("_")]:
+        return None
+    # With the schema given, day directories stay text and nothing is inferred.
+    return spark.read.schema(schema).orc(path).where(_in_parts(parts, parts_by))
+
+
+def fold_partitioned(
+    rows: DataFrame,
+    path: str,
+    parts_by: Sequence[str],
+    batch_id: str | int,
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+    schema: StructType,
+) -> list[tuple]:
+    """Merge a batch into the partitions it touches, and no others; returns them.
+
+    ``merge`` makes their new rows of the stored ones and the batch.  They are staged completely before they
+    replace the old ones.
+    """
+    spark = rows.sparkSession
+    _publish(spark, path, len(parts_by))
+    parts = _parts_of(rows, parts_by)
+    if not parts:
+        return []
+    current = _current(spark, path, schema, parts, parts_by)
+    small = sum(parts.values()) <= _SMALL_ROWS and (current is None or sizing.fits(current, _SMALL_BYTES))
+    _write(_sized(merge(current, rows), *parts_by, small=small), f"{path}/{_STAGING}/{batch_id}", parts_by)
+    _publish(spark, path, len(parts_by))
+    return list(parts)
+
+
+def read_parts(spark: SparkSession, path: str, schema: StructType, parts: Iterable[tuple], parts_by: Sequence[str]) -> DataFrame:
+    """Stored rows of the partitions."""
+    return spark.read.schema(schema).orc(path).where(_in_parts(parts, parts_by))
+
+
 def upsert_partitioned(
     changes: DataFrame,
     path: str,
@@ -152,28 +192,23 @@ def upsert_partitioned(
 
     The table is partitioned by day (unless ``partition`` is None) and by a
     hash bucket of the first key; only the partitions the batch touches are
-    read and rewritten.  The merged partitions are staged completely before they
-    replace the old ones.  With ``replace`` the changes win over what is stored whatever
+    read and rewritten.  With ``replace`` the changes win over what is stored whatever
     their order, as results that were computed anew must.
     """
-    spark = changes.sparkSession
     parts_by = [partition, "bucket"] if partition else ["bucket"]
-    changes = with_bucket(changes, keys[0], buckets)
-    _publish(spark, path, len(parts_by))
-    parts = _parts_of(changes.where(F.col("_op") != "B"), parts_by)
-    if not parts:
-        return
-    current, small = None, sum(parts.values()) <= _SMALL_ROWS
-    if files.subdirectories(spark, path):
-        # With the schema given, day directories stay text and nothing is inferred.
-        current = spark.read.schema(changes.schema).orc(path)
-        small = small and sizing.fits(current, _SMALL_BYTES)
-        current = current.where(_in_parts(parts, parts_by))
-        if replace:
-            current = current.withColumn(order[0], F.lit(-1).cast("bigint"))
-    merged = apply_changes(current, changes, [*keys, "bucket"], order)
-    _write(_sized(merged, *parts_by, small=small), f"{path}/{_STAGING}/{batch_id}", parts_by)
-    _publish(spark, path, len(parts_by))
+    changes = with_bucket(changes, keys[0], buckets).where(F.col("_op") != "B")
+
+    def merge(current: DataFrame | None, rows: DataFrame) -> DataFrame:
+        return apply_changes(current, rows, [*keys, "bucket"], order, replace)
+
+    fold_partitioned(changes, path, parts_by, batch_id, merge, changes.schema)
+
+
+def _logged(rows: DataFrame, path: str, batch_id: str | int) -> None:
+    """A batch's rows in the log: written aside and moved in whole, so that followers never see a part of them."""
+    staged = f"{path}/{_STAGING}/{batch_id}"
+    _write(rows, staged)
+    files.move(rows.sparkSession, staged, f"{path}/batch={batch_id}")
 
 
 def log_changes(changes: DataFrame, path: str, batch_id: str | int) -> None:
@@ -182,9 +217,35 @@ def log_changes(changes: DataFrame, path: str, batch_id: str | int) -> None:
     The batch must be named by its stream too: the same number in another stream's
     checkpoint is another batch.
     """
-    target = f"{path}/batch={batch_id}"
-    if not files.complete(changes.sparkSession, target):
-        _write(changes, target)
+    if not files.complete(changes.sparkSession, f"{path}/batch={batch_id}"):
+        _logged(changes, path, batch_id)
+
+
+def log_transitions(
+    changes: DataFrame,
+    path: str,
+    log: str,
+    *,
+    keys: Sequence[str],
+    batch_id: str | int,
+    partition: str | None = "dt",
+    order: Sequence[str] = ORDER,
+    buckets: int = BUCKETS,
+) -> None:
+    """Keep what a batch will do to a keyed table (see :func:`transitions`) for followers.
+
+    To be called before :func:`upsert_partitioned` with the same batch, as afterwards the old rows are gone.  A batch already
+    logged is left as it is, so it does not matter how far a run got that is repeated.
+    """
+    spark = changes.sparkSession
+    if files.complete(spark, f"{log}/batch={batch_id}"):
+        return
+    parts_by = [partition, "bucket"] if partition else ["bucket"]
+    _publish(spark, path, len(parts_by))
+    rows = with_bucket(changes, keys[0], buckets)
+    parts = _parts_of(rows.where(F.col("_op") != "B"), parts_by)
+    current = _current(spark, path, rows.schema, parts, parts_by) if parts else None
+    _logged(transitions(current, rows, keys, order).drop("bucket"), log, batch_id)
 
 
 def drop_expired(spark: SparkSession, path: str, as_of: date, before: int = 30) -> list[str]:

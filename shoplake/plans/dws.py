@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions import day_of
-from shoplake.operators import union_measures
+from shoplake.operators.measures import Stats
 
 _AMOUNT = "decimal(18,4)"
 _USER = ("user_nick_name", "user_level", "age_range", "gender")
@@ -26,100 +26,120 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def trade_user_stats(
-    order_info: DataFrame, payment_info: DataFrame, refund_info: DataFrame, coupon_use: DataFrame
-) -> DataFrame:
-    """Per user and day: orders, payments, refunds and coupons, whatever their status."""
-    sources = [
-        (
-            order_info,
-            {
+_SKU_ATTRS = (
+    "sku_name", "spu_id", "spu_name", "category3_id", "category3_name", "category2_id", "category2_name",
+    "category1_id", "category1_name", "brand_id", "brand_name",
+)
+_LOGS = {
+    "log_startup": "startup_count",
+    "log_page_view": "page_view_count",
+    "log_action": "action_count",
+    "log_display": "exposure_count",
+    "log_error": "error_count",
+}
+
+# The aggregates that streams keep; facts in the order of the functions' parameters.
+STATS = {
+    "trade_user_stats": Stats(
+        keys=("user_id", "dt"),
+        attrs=_USER,
+        types={
+            "order_count": "bigint",
+            "order_total_amount": _AMOUNT,
+            "order_original_amount": _AMOUNT,
+            "order_coupon_reduce": _AMOUNT,
+            "payment_count": "bigint",
+            "payment_total_amount": _AMOUNT,
+            "refund_count": "bigint",
+            "refund_total_amount": _AMOUNT,
+            "refund_num": "bigint",
+            "coupon_count": "bigint",
+            "coupon_reduce_amount": _AMOUNT,
+        },
+        sources={
+            "order_info": {
                 "order_count": "1",
                 "order_total_amount": "total_amount",
                 "order_original_amount": "original_total_amount",
                 "order_coupon_reduce": "coupon_reduce_amount",
             },
-        ),
-        (payment_info, {"payment_count": "1", "payment_total_amount": "total_amount"}),
-        (
-            refund_info,
-            {"refund_count": "1", "refund_total_amount": "refund_amount", "refund_num": "refund_num"},
-        ),
-        (coupon_use, {"coupon_count": "1", "coupon_reduce_amount": "coupon_reduce_amount"}),
-    ]
-    types = {
-        "order_count": "bigint",
-        "order_total_amount": _AMOUNT,
-        "order_original_amount": _AMOUNT,
-        "order_coupon_reduce": _AMOUNT,
-        "payment_count": "bigint",
-        "payment_total_amount": _AMOUNT,
-        "refund_count": "bigint",
-        "refund_total_amount": _AMOUNT,
-        "refund_num": "bigint",
-        "coupon_count": "bigint",
-        "coupon_reduce_amount": _AMOUNT,
-    }
-    return union_measures(sources, ["user_id", "dt"], _USER, types)
-
-
-def trade_sku_stats(order_detail: DataFrame, cart_info: DataFrame) -> DataFrame:
-    """Per sku and day: order lines, units, amounts and cart additions."""
-    sources = [
-        (
-            order_detail,
-            {
+            "payment_info": {"payment_count": "1", "payment_total_amount": "total_amount"},
+            "refund_info": {"refund_count": "1", "refund_total_amount": "refund_amount", "refund_num": "refund_num"},
+            "coupon_use": {"coupon_count": "1", "coupon_reduce_amount": "coupon_reduce_amount"},
+        },
+    ),
+    "trade_sku_stats": Stats(
+        keys=("sku_id", "dt"),
+        attrs=_SKU_ATTRS,
+        types={
+            "order_count": "bigint",
+            "order_sku_num": "bigint",
+            "order_total_amount": _AMOUNT,
+            "order_coupon_reduce": _AMOUNT,
+            "order_activity_reduce": _AMOUNT,
+            "cart_count": "bigint",
+            "cart_sku_num": "bigint",
+        },
+        sources={
+            "order_detail": {
                 "order_count": "1",
                 "order_sku_num": "sku_num",
                 "order_total_amount": "split_total_amount",
                 "order_coupon_reduce": "split_coupon_amount",
                 "order_activity_reduce": "split_activity_amount",
             },
-        ),
-        (cart_info, {"cart_count": "1", "cart_sku_num": "sku_num"}),
-    ]
-    attrs = [
-        "sku_name", "spu_id", "spu_name", "category3_id", "category3_name", "category2_id", "category2_name",
-        "category1_id", "category1_name", "brand_id", "brand_name",
-    ]
-    types = {
-        "order_count": "bigint",
-        "order_sku_num": "bigint",
-        "order_total_amount": _AMOUNT,
-        "order_coupon_reduce": _AMOUNT,
-        "order_activity_reduce": _AMOUNT,
-        "cart_count": "bigint",
-        "cart_sku_num": "bigint",
-    }
-    return union_measures(sources, ["sku_id", "dt"], attrs, types)
+            "cart_info": {"cart_count": "1", "cart_sku_num": "sku_num"},
+        },
+    ),
+    "log_page_stats": Stats(
+        keys=("page_id", "dt"),
+        attrs=("page_name",),
+        types={"pv": "bigint", "total_during_time": "bigint", "total_jump_count": "bigint"},
+        sources={
+            "log_page_view": {
+                "pv": "1",
+                "total_during_time": "coalesce(during_time, 0)",
+                "total_jump_count": "coalesce(jump_count, 0)",
+            }
+        },
+        distinct={"uv": "user_id"},
+    ),
+    "log_sku_exposure_stats": Stats(
+        keys=("sku_id", "dt"),
+        attrs=_SKU_NAMES,
+        types={"exposure_count": "bigint"},
+        sources={"log_display": {"exposure_count": "1"}},
+        distinct={"exposure_user_count": "user_id"},
+    ),
+    "log_user_action_stats": Stats(
+        keys=("user_id", "dt"),
+        attrs=_USER,
+        types=dict.fromkeys(_LOGS.values(), "bigint"),
+        sources={log: {count: "1"} for log, count in _LOGS.items()},
+    ),
+}
+
+
+def trade_user_stats(
+    order_info: DataFrame, payment_info: DataFrame, refund_info: DataFrame, coupon_use: DataFrame
+) -> DataFrame:
+    """Per user and day: orders, payments, refunds and coupons, whatever their status."""
+    return STATS["trade_user_stats"].of(order_info, payment_info, refund_info, coupon_use)
+
+
+def trade_sku_stats(order_detail: DataFrame, cart_info: DataFrame) -> DataFrame:
+    """Per sku and day: order lines, units, amounts and cart additions."""
+    return STATS["trade_sku_stats"].of(order_detail, cart_info)
 
 
 def log_page_stats(log_page_view: DataFrame) -> DataFrame:
-    rows = _by_day(log_page_view, "page_id", "dt", "page_name", "user_id", "during_time", "jump_count")
-    return (
-        rows.dropna(subset=["page_id", "dt"])
-        .groupBy("page_id", "dt")
-        .agg(
-            F.max("page_name").alias("page_name"),
-            _rows().alias("pv"),
-            F.count_distinct("user_id").alias("uv"),
-            F.sum(F.coalesce("during_time", F.lit(0))).alias("total_during_time"),
-            F.sum(F.coalesce("jump_count", F.lit(0))).alias("total_jump_count"),
-        )
-    )
+    """Per page and day: views, visitors, time and jumps."""
+    return STATS["log_page_stats"].of(log_page_view)
 
 
 def log_sku_exposure_stats(log_display: DataFrame) -> DataFrame:
-    rows = _by_day(log_display, "sku_id", "dt", *_SKU_NAMES, "user_id")
-    return (
-        rows.dropna(subset=["sku_id", "dt"])
-        .groupBy("sku_id", "dt")
-        .agg(
-            *[F.max(c).alias(c) for c in _SKU_NAMES],
-            _rows().alias("exposure_count"),
-            F.count_distinct("user_id").alias("exposure_user_count"),
-        )
-    )
+    """Per sku and day: how often it was shown, and to how many users."""
+    return STATS["log_sku_exposure_stats"].of(log_display)
 
 
 def log_user_action_stats(
@@ -130,15 +150,7 @@ def log_user_action_stats(
     log_error: DataFrame,
 ) -> DataFrame:
     """Per user and day: how many rows of each log; a displayed list counts once per sku."""
-    logs = {
-        "startup_count": log_startup,
-        "page_view_count": log_page_view,
-        "action_count": log_action,
-        "exposure_count": log_display,
-        "error_count": log_error,
-    }
-    sources = [(df, {name: "1"}) for name, df in logs.items()]
-    return union_measures(sources, ["user_id", "dt"], _USER, dict.fromkeys(logs, "bigint"))
+    return STATS["log_user_action_stats"].of(log_startup, log_page_view, log_action, log_display, log_error)
 
 
 def trade_region_stats(order_info: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Raw, fact and aggregate tables are kept by separate queries that follow each
 other's change logs.  Each query handles its micro-batch with the same
-functions the batch plans use.  No query keeps aggregation state: an aggregate
-recomputes the groups a batch touched from the stored facts, which is exact
+functions the batch plans use.  An aggregate adds the signed deltas of its facts
+to a keyed state of its own (``operators.deltas``) and reads no fact again; that is exact
 for distinct counts, corrections and deletes, however late they come, and
 needs no watermark and no state expiry.
 """
@@ -12,35 +12,33 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from shoplake import schemas
-from shoplake.operators import affected_groups, change_rows, files
+from shoplake.operators import change_rows, deltas, files
 from shoplake.operators.lake import Lake, empty
+from shoplake.operators.measures import Stats
 from shoplake.operators.sinks import (
     append_log,
+    fold_partitioned,
     log_changes,
+    log_transitions,
     multi_sink,
     overwrite_days,
     overwrite_snapshot,
+    read_parts,
     upsert_partitioned,
+    with_bucket,
 )
-from shoplake.plans import ods
+from shoplake.plans import dws, ods
 from shoplake.plans.warehouse import REFRESHED, RULES, Warehouse
 from shoplake.session import tune
 from shoplake.sources import cdc_stream, change_stream, json_log_stream
 
-# Aggregates kept by streams, and their group keys.
-GROUPS = {
-    "trade_user_stats": ("user_id", "dt"),
-    "trade_sku_stats": ("sku_id", "dt"),
-    "log_page_stats": ("page_id", "dt"),
-    "log_sku_exposure_stats": ("sku_id", "dt"),
-    "log_user_action_stats": ("user_id", "dt"),
-}
 KEYED_DIMS = ("coupon_info", "sku_info", "spu_info", "user_info")
 KEYED_FACTS = tuple(t for t in ods.KEYS if t in schemas.BUSINESS_TABLES)
 APPENDED = ("order_status_log", *schemas.LOG_TABLES)
@@ -157,32 +155,68 @@ class Jobs:
 
     def aggregate(self, table: str) -> StreamingQuery:
         """Follow the fact tables of an aggregate and keep the groups they touch up to date."""
-        name, keys = f"dws.{table}", GROUPS[table]
-        build, inputs = RULES[name]
-        changed = None
-        for source in inputs:
-            fact = source.removeprefix("dwd.")
-            rows = self._follow_appends(source) if fact in APPENDED else self._follow_changes(source)
-            rows = rows.select(*keys)
-            changed = rows if changed is None else changed.union(rows)
-
-        def recompute(rows: DataFrame, n: str) -> None:
-            touched = rows.dropna().distinct().persist()
+        name, stats = f"dws.{table}", dws.STATS[table]
+        changed = []
+        for fact in stats.sources:
+            if fact in APPENDED:
+                rows, sign = self._follow_appends(f"dwd.{fact}"), F.lit(1)
+            else:
+                rows, sign = self._follow_changes(f"dwd.{fact}"), F.when(F.col("_op") == "U", 1).otherwise(-1)
+            changed.append(deltas.signed(rows, stats, fact, sign))
+
+        def add(rows: DataFrame, n: str) -> None:
+            rows.persist()
             try:
-                days = [r.dt for r in touched.select("dt").distinct().collect()]  # days of one batch
-                facts = [affected_groups(touched, self._input(i).where(F.col("dt").isin(days)), keys) for i in inputs]
-                groups = build(*facts).withColumn("dt", F.col("dt").cast("string"))
-                # A touched group without facts left is deleted.
-                state = touched.join(groups.withColumn("_op", F.lit("U")), list(keys), "left")
-                state = state.withColumn("_op", F.coalesce("_op", F.lit("D")))
-                zero = F.lit(0).cast("bigint")
-                state = state.withColumn("_ts", zero).withColumn("_seq", zero)
-                path, buckets = self.lake.path(name), self.lake.buckets
-                upsert_partitioned(state, path, keys=keys, batch_id=n, buckets=buckets, replace=True)
+                self._add(name, stats, rows, n)
             finally:
-                touched.unpersist()
-
-        return self._start(name, changed, recompute)
+                rows.unpersist()
+
+        return self._start(name, reduce(DataFrame.unionByName, changed), add)
+
+    def _add(self, name: str, stats: Stats, rows: DataFrame, n: str) -> None:
+        """Add a batch of signed rows to an aggregate's state, then replace the groups it touched."""
+        stream, _, number = n.rpartition(".")
+        state, batch, parts_by = self.lake.path(f"state.{name}"), int(number), ["dt", "bucket"]
+        self._own(state, stream)
+        cells = deltas.cell_deltas(rows, stats)
+        if stats.distinct:
+            # By value, so that a hot group is spread over all buckets.
+            keys = [*stats.keys, "of", "value"]
+            values = with_bucket(deltas.value_deltas(rows, stats), keys, self.lake.buckets)
+            seen = self._fold_state(values, f"{state}/values", [*keys, "bucket"], ["n"], parts_by, n, batch)
+            if seen is not None:
+                cells = cells.unionAll(deltas.as_cells(deltas.steps(seen, stats, batch), cells, stats))
+        cells = with_bucket(deltas.merged_cells(cells, stats), stats.keys[0], self.lake.buckets)
+        keys, counters = [*stats.keys, *stats.attrs, "bucket"], ["n", *stats.types, *stats.distinct]
+        known = self._fold_state(cells, f"{state}/cells", keys, counters, parts_by, n, batch)
+        if known is None:
+            return
+        touched = known.where(F.col("_batch") == batch).select(*stats.keys).distinct()
+        groups = deltas.groups(known.join(touched, list(stats.keys), "left_semi"), stats)
+        zero = F.lit(0).cast("bigint")
+        groups = groups.withColumn("_ts", zero).withColumn("_seq", zero)
+        path, buckets = self.lake.path(name), self.lake.buckets
+        upsert_partitioned(groups, path, keys=stats.keys, batch_id=n, buckets=buckets, replace=True)
+
+    def _fold_state(
+        self, rows: DataFrame, path: str, keys: list[str], counters: list[str], parts_by: list[str], n: str, batch: int
+    ) -> DataFrame | None:
+        """Add deltas to a state table; its rows in the partitions they touched, None if there were none."""
+        kept = rows.select(*[c for c in keys if c not in parts_by], *counters, F.lit(0).cast("bigint").alias("_before"),
+                           F.lit(0).cast("bigint").alias("_batch"), *parts_by)
+
+        def merge(current: DataFrame | None, batch_rows: DataFrame) -> DataFrame:
+            return deltas.folded(current, batch_rows, keys, counters, batch)
+
+        parts = fold_partitioned(rows, path, parts_by, n, merge, kept.schema)
+        return read_parts(self.spark, path, kept.schema, parts, parts_by) if parts else None
+
+    def _own(self, state: str, stream: str) -> None:
+        """State that another stream began, whose progress is lost, is dropped: this one sees every change from the first on."""
+        others = [w for w in files.subdirectories(self.spark, f"{state}/_writers") if w != stream]
+        if others:
+            files.remove(self.spark, state)
+        files.make(self.spark, f"{state}/_writers/{stream}")
 
     # --- all -----------------------------------------------------------------
 
@@ -190,7 +224,7 @@ class Jobs:
         self,
         changes: Mapping[str, str | dict],
         logs: Mapping[str, str | dict],
-        aggregates: Sequence[str] = tuple(GROUPS),
+        aggregates: Sequence[str] = tuple(dws.STATS),
     ) -> None:
         """Work off everything that has arrived, layer by layer.
 
@@ -220,7 +254,7 @@ class Jobs:
         return writer.option("checkpointLocation", checkpoint).trigger(**self.trigger).start()
 
     def _fold(self, name: str, changes: DataFrame, batch_id: str, keys: Sequence[str]) -> None:
-        """Upsert a batch, then log it, so followers never run ahead of the table."""
+        """Upsert a batch and log it; followers of a raw table never run ahead of it."""
 
         def upsert(rows: DataFrame, n: str) -> None:
             partition = "dt" if "dt" in rows.columns else None
@@ -231,7 +265,13 @@ class Jobs:
         def log(rows: DataFrame, n: str) -> None:
             log_changes(rows, self.lake.changes(name), n)
 
-        multi_sink(changes, batch_id, [upsert, log])
+        def log_steps(rows: DataFrame, n: str) -> None:
+            log_transitions(
+                rows, self.lake.path(name), self.lake.changes(name), keys=keys, batch_id=n, buckets=self.lake.buckets
+            )
+
+        # Aggregates add what a fact table's rows were and are; that must be known before they are replaced.
+        multi_sink(changes, batch_id, [log_steps, upsert] if name.startswith("dwd.") else [upsert, log])
 
     def _append(self, name: str, rows: DataFrame, batch_id: str, cluster: str = "mid") -> None:
         append_log(rows, self.lake.path(name), batch_id, cluster, writer=batch_id.rpartition(".")[0])
