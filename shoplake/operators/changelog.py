@@ -3,8 +3,8 @@
 A change row is the table's columns plus
 
 * ``_op``   ``U`` the row's new state, ``B`` its state before an update, ``D`` deleted
-* ``_ts``   source time of the change, in milliseconds
-* ``_seq``  position in the source log, breaking ties of ``_ts``
+* ``_seq``  position of the change in the source log: number of the log file, place in it, row of a change of many rows
+* ``_ts``   source time of the change, in milliseconds; decides where the source gives no position
 
 A keyed table keeps ``_op``, ``_ts`` and ``_seq`` too: a delete stays as a ``D``
 row, so an older change that arrives later cannot bring the row back.
@@ -20,7 +20,14 @@ from pyspark.sql import functions as F
 from shoplake.functions.times import day_text
 
 META = ("_op", "_ts", "_seq")
-ORDER = ("_ts", "_seq")
+ORDER = ("_seq", "_ts")
+# A position in a source's log.
+POSITION = "struct<file:bigint,pos:bigint,row:bigint>"
+
+
+def position(file: int | Column, pos: int | Column, row: int | Column = 0) -> Column:
+    parts = {"file": file, "pos": pos, "row": row}
+    return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).cast("bigint").alias(k) for k, v in parts.items()])
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ORDER) -> DataFrame:
@@ -85,7 +92,7 @@ def live_rows(df: DataFrame) -> DataFrame:
 
 
 def change_rows(envelopes: DataFrame, keys: Sequence[str], event_time: str | None = None) -> DataFrame:
-    """Change records ``(op, ts_ms, seq, before, after)`` to change rows, in one pass.
+    """Change records ``(op, ts_ms, seq, before, after)`` to change rows, in one pass; ``seq`` is a position.
 
     ``op`` is ``r`` (snapshot read), ``c``, ``u`` or ``d``.  With ``event_time``
     the rows get the day column ``dt``.  An update that moves a row to another

@@ -64,14 +64,14 @@ def lookup_join(
 
 def flatten_tree(
     df: DataFrame, id: str = "id", parent: str = "parent_id", name: str = "category_name", levels: int = 3,
-    prefix: str = "category",
+    prefix: str = "category", nodes: DataFrame | None = None,
 ) -> DataFrame:
     """Put every ancestor of a node beside it.
 
     The node itself fills level ``levels``; its parent the level above, and so
-    on.  A missing ancestor gives NULLs.
+    on.  A missing ancestor gives NULLs.  ``nodes`` is the whole tree where ``df`` is only some of it.
     """
-    nodes = df.select(F.col(id).alias("_id"), F.col(parent).alias("_up"), F.col(name).alias("_name"))
+    nodes = (df if nodes is None else nodes).select(F.col(id).alias("_id"), F.col(parent).alias("_up"), F.col(name).alias("_name"))
     out = df.withColumn(f"{prefix}{levels}_id", F.col(id)).withColumn(f"{prefix}{levels}_name", F.col(name))
     out = out.withColumn("_next", F.col(parent))
     for level in range(levels - 1, 0, -1):

@@ -76,26 +76,66 @@ def overwrite_days(df: DataFrame, path: str, whole: bool) -> None:
 # --- append-only ---------------------------------------------------------------
 
 
-def append_log(df: DataFrame, path: str, batch_id: str | int, cluster: str = "mid", writer: str | None = None) -> None:
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def append_log(
+    df: DataFrame,
+    path: str,
+    batch_id: str | int,
+    cluster: str = "mid",
+    writer: str | None = None,
+    event_key: Sequence[str] | None = None,
+) -> None:
     """Append a micro-batch, partitioned by day.
 
-    The batch has its own directory in each day, so a repeated batch replaces
-    its first attempt instead of adding rows twice.  ``writer`` names the stream: rows
+    The batch has its own directory in each day, moved in whole; a repeated batch writes only the days its first attempt did
+    not come to, so neither the table nor a follower sees a row twice.  ``writer`` names the stream: rows
     of a log have no key, so a second stream, such as one whose checkpoint was lost,
-    would add them again; it is refused instead.  ``dt`` also stays in the
+    would add them again; it is refused.  With ``event_key``, columns that tell events apart, a second stream is welcome: events
+    that another stream has stored are left out.  ``dt`` also stays in the
     files: a stream that starts before the first file cannot know the
     directories' columns.
     """
+    spark = df.sparkSession
+    df = df.withColumn("day", F.col("dt")).withColumn("batch", F.lit(str(batch_id)))
     if writer:
-        others = [n for n in files.subdirectories(df.sparkSession, f"{path}/_writers") if n != writer]
-        if others:
+        others = [n for n in files.subdirectories(spark, f"{path}/_writers") if n != writer]
+        if others and not event_key:
             raise ValueError(f"{path} holds the rows of another stream ({others[0]}): restore its checkpoint or use a new table")
-        files.make(df.sparkSession, f"{path}/_writers/{writer}")
-    df = df.withColumn("day", F.col("dt")).withColumn("batch", F.lit(str(batch_id)))
+        files.make(spark, f"{path}/_writers/{writer}")
+        if others:
+            df = _unknown(df, path, writer, event_key)
+    begun = f"{path}/_begun/{batch_id}"
+    if files.exists(spark, begun):
+        days = [n for n in files.subdirectories(spark, path) if n.startswith("day=")]
+        done = [n[4:] for n in days if files.exists(spark, f"{path}/{n}/batch={batch_id}")]
+        df = df.where(~F.coalesce("day", F.lit(_NO_DAY)).isin(done))
+    else:
+        for old in files.subdirectories(spark, f"{path}/_begun"):
+            if old.rpartition(".")[0] == str(batch_id).rpartition(".")[0]:
+                files.remove(spark, f"{path}/_begun/{old}")
+        files.make(spark, begun)
     df = _sized(df, "day").sortWithinPartitions("day", cluster)
     _write(df, path, ["day", "batch"], partitionOverwriteMode="dynamic")
 
 
+def _unknown(df: DataFrame, path: str, writer: str, event_key: Sequence[str]) -> DataFrame:
+    """Rows whose event no other stream has stored; only the days of the batch are read."""
+    spark = df.sparkSession
+    if not [n for n in files.subdirectories(spark, path) if n.startswith("day=")]:
+        return df
+    days = [r[0] for r in df.select("day").distinct().collect()]  # days of one batch
+    hit = F.col("day").isin([d for d in days if d is not None])
+    hit = hit | F.col("day").isNull() if None in days else hit
+    stored = spark.read.schema(df.schema).orc(path).where(hit & ~F.col("batch").startswith(f"{writer}."))
+    same = F.col("_day").eqNullSafe(F.col("day"))
+    for k in event_key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    seen = stored.select(F.col("day").alias("_day"), *[F.col(k).alias(f"_{k}") for k in event_key])
+    return df.join(seen, same, "left_anti")
+
+
 # --- keyed ---------------------------------------------------------------------
 
 

@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 
 from shoplake import schemas
 from shoplake.operators import files
+from shoplake.operators.changelog import position
 
 
 def cdc_records(text: DataFrame, table: str) -> DataFrame:
     """Text column ``value`` to change records ``(op, ts_ms, seq, before, after)``.
 
     Records that are not JSON or lack an operation are dropped.  Row images
-    are typed; text that does not fit its column gives NULL.
+    are typed; text that does not fit its column gives NULL.  ``seq`` becomes a position: of the record's ``source``
+    (``file`` ending in its number, ``pos``, ``row``), or else of its plain ``seq``.
     """
     wire = schemas.text_ddl(table)
     image = f"struct<{wire.replace(' string', ': string')}>"
-    envelope = F.from_json("value", f"op string, ts_ms bigint, seq bigint, before {image}, after {image}")
+    source = "struct<file: string, pos: bigint, row: bigint, ts_ms: bigint>"
+    fields = f"op string, ts_ms bigint, seq bigint, source {source}, before {image}, after {image}"
+    envelope = F.from_json("value", fields)
     # A generator parses each record once; a plain column would be parsed again for every use.
     rows = text.select(F.inline(F.array(envelope))).where(F.col("op").isin("r", "c", "u", "d"))
 
@@ -27,7 +31,10 @@ def cdc_records(text: DataFrame, table: str) -> DataFrame:
         cols = [schemas.from_text(F.col(f"{name}.{c}"), t).alias(c) for c, t in schemas.fields(table).items()]
         return F.when(F.col(name).isNotNull(), F.struct(*cols)).alias(name)
 
-    return rows.select("op", "ts_ms", "seq", typed("before"), typed("after"))
+    number = F.coalesce(F.regexp_extract("source.file", r"([0-9]+)$", 1).try_cast("bigint"), F.lit(0))
+    placed = position(number, F.col("source.pos"), F.coalesce("source.row", F.lit(0)))
+    seq = F.when(F.col("source.pos").isNotNull(), placed).otherwise(position(0, F.col("seq"))).alias("seq")
+    return rows.select("op", F.coalesce("source.ts_ms", "ts_ms").alias("ts_ms"), seq, typed("before"), typed("after"))
 
 
 def cdc_stream(

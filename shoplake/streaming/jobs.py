@@ -14,16 +14,17 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from shoplake import schemas
-from shoplake.operators import change_rows, deltas, files
+from shoplake.operators import change_rows, changelog, deltas, files
 from shoplake.operators.lake import Lake, empty
 from shoplake.operators.measures import Stats
 from shoplake.operators.sinks import (
     append_log,
+    current_version,
     fold_partitioned,
     log_changes,
     log_transitions,
@@ -34,7 +35,7 @@ from shoplake.operators.sinks import (
     upsert_partitioned,
     with_bucket,
 )
-from shoplake.plans import dws, ods
+from shoplake.plans import dim, dws, ods
 from shoplake.plans.warehouse import REFRESHED, RULES, Warehouse
 from shoplake.session import tune
 from shoplake.sources import cdc_stream, change_stream, json_log_stream
@@ -63,9 +64,32 @@ class Jobs:
 
     # --- batch ---------------------------------------------------------------
 
-    def load_snapshot(self, table: str, rows: DataFrame) -> None:
-        """Replace a raw base table with a whole snapshot."""
-        overwrite_snapshot(ods.load(table, rows), self.lake.path(f"ods.{table}"))
+    def load_snapshot(self, table: str, rows: DataFrame, position: tuple[int, ...] | None = None) -> None:
+        """Replace a raw base table with a whole snapshot.
+
+        With ``position``, the place in the source's log (file, place and perhaps row) at which the snapshot was taken, the
+        table goes over to its log: the rows are logged as changes made there, rows that are stored but missing from the
+        snapshot are deleted there, and :meth:`ingest_changes` leaves out what the log says up to there.
+        """
+        name, new = f"ods.{table}", ods.load(table, rows)
+        if position is None:
+            overwrite_snapshot(new, self.lake.path(name))
+            return
+        place = (*position, 0)[:3]
+        at, keys = changelog.position(*place), ods.KEYS[table]
+        files.make(self.spark, f"{self.lake.path(name)}/_mark/{'-'.join(map(str, place))}")
+        state = new.withColumn("_op", F.lit("U"))
+        had = self.lake.stored(name)
+        if had is not None:
+            same = reduce(lambda a, b: a & b, [had[k].eqNullSafe(new[k]) for k in keys])
+            state = state.unionByName(had.join(new, same, "left_anti").withColumn("_op", F.lit("D")))
+        state = state.withColumn("_ts", F.lit(0).cast("bigint")).withColumn("_seq", at)
+        self._fold(name, state, f"snapshot.{'-'.join(map(str, place))}", keys)
+
+    def _mark(self, name: str) -> Column:
+        """The position of the newest snapshot that has one; one before all others if there is none."""
+        marks = [tuple(map(int, n.split("-"))) for n in files.subdirectories(self.spark, f"{self.lake.path(name)}/_mark")]
+        return changelog.position(*max(marks, default=(-1, -1, -1)))
 
     def build(self, name: str) -> None:
         """Compute a table from the stored tables below it and replace it (dimensions)."""
@@ -114,12 +138,20 @@ class Jobs:
         """Row changes of a source table into the raw table."""
         records = cdc_stream(self.spark, table, source, max_files=self.max_files, **start)
         name = f"ods.{table}"
+        if current_version(self.spark, self.lake.path(name)):
+            raise ValueError(f"{name} is a snapshot without a position in the log: load it with one")
         if table == "order_status_log":
             inserted = records.where(F.col("op").isin("r", "c")).select("after.*")
             return self._start(name, inserted, lambda rows, n: self._append(name, ods.load(table, rows), n, "id"))
         keys = ods.KEYS[table]
         time = ods.event_time(table)
-        return self._start(name, records, lambda rows, n: self._fold(name, change_rows(rows, keys, time), n, keys))
+
+        def fold(rows: DataFrame, n: str) -> None:
+            # Only a place can tell that a record is older than the snapshot.
+            later = rows.where(F.col("seq.pos").isNull() | (F.col("seq") > self._mark(name)))
+            self._fold(name, change_rows(later, keys, time), n, keys)
+
+        return self._start(name, records, fold)
 
     def ingest_log(self, table: str, source: str | dict) -> StreamingQuery:
         """JSON log records into the raw log table."""
@@ -127,6 +159,56 @@ class Jobs:
         rows = json_log_stream(self.spark, table, source, self.max_files)
         return self._start(name, rows, lambda batch, n: self._append(name, ods.load(table, batch), n))
 
+    # --- dimensions ----------------------------------------------------------
+
+    def keep_dim(self, table: str) -> StreamingQuery:
+        """Follow the raw tables of a dimension and keep it.
+
+        A changed row reaches the rows that name it, a category also those below it; these are built again from the raw
+        tables and replaced in a new version of the dimension, so a reader sees the old or the new one.
+        """
+        name, links = f"dim.{table}", dim.LINKS.get(table, {})
+        logs = [self._follow_changes(f"ods.{t}").select(F.lit(t).alias("of"), "id") for t in (table, *links)]
+
+        def update(rows: DataFrame, n: str) -> None:
+            rows = rows.dropna().distinct().persist()
+            try:
+                if not rows.isEmpty():
+                    self._rebuild(name, table, self._reached(table, rows))
+            finally:
+                rows.unpersist()
+
+        return self._start(name, reduce(DataFrame.union, logs), update)
+
+    def _reached(self, table: str, changed: DataFrame) -> DataFrame:
+        """Ids of the dimension's rows that changed raw rows (of, id) have a say in."""
+        own, tree = self._input(f"ods.{table}"), self._input("ods.base_category")
+
+        def ids(of: str) -> DataFrame:
+            hit = changed.where(F.col("of") == of).select("id")
+            return dim.below(tree, hit) if of == "base_category" else hit
+
+        out = ids(table)
+        for source, column in dim.LINKS.get(table, {}).items():
+            hit = ids(source).withColumnRenamed("id", "_hit")
+            out = out.union(own.join(hit, F.col(column) == F.col("_hit"), "left_semi").select("id"))
+        return out.distinct()
+
+    def _rebuild(self, name: str, table: str, ids: DataFrame) -> None:
+        build, inputs = RULES[name]
+        own, old = self._input(f"ods.{table}"), self.lake.stored(name)
+        rows = own if old is None else own.join(ids, "id", "left_semi")
+        if table == "base_category":
+            new = build(rows, own)
+        else:
+            # Categories come from the raw table, which is never behind its log; the dimension may be.
+            tree = RULES["dim.base_category"][0]
+            others = [tree(self._input("ods.base_category")) if i == "dim.base_category" else self._input(i) for i in inputs[1:]]
+            new = build(rows, *others)
+        if old is not None:
+            new = old.join(ids, "id", "left_anti").unionByName(new)
+        overwrite_snapshot(new, self.lake.path(name))
+
     # --- facts ---------------------------------------------------------------
 
     def enrich(self, table: str) -> StreamingQuery:
@@ -193,8 +275,7 @@ class Jobs:
             return
         touched = known.where(F.col("_batch") == batch).select(*stats.keys).distinct()
         groups = deltas.groups(known.join(touched, list(stats.keys), "left_semi"), stats)
-        zero = F.lit(0).cast("bigint")
-        groups = groups.withColumn("_ts", zero).withColumn("_seq", zero)
+        groups = groups.withColumn("_ts", F.lit(0).cast("bigint")).withColumn("_seq", changelog.position(0, 0))
         path, buckets = self.lake.path(name), self.lake.buckets
         upsert_partitioned(groups, path, keys=stats.keys, batch_id=n, buckets=buckets, replace=True)
 
@@ -228,13 +309,15 @@ class Jobs:
     ) -> None:
         """Work off everything that has arrived, layer by layer.
 
-        ``changes`` and ``logs`` map source tables to their sources.  The tables of
+        ``changes`` and ``logs`` map source tables to their sources.  Dimensions that a changed table reaches are kept
+        too.  The tables of
         one layer are independent and run side by side; a layer starts when the one
         below has finished, so no job reads a table another one is rewriting.
         """
         once = Jobs(self.lake, {"availableNow": True}, self.max_files)
         raw = [once.ingest_changes(t, s) for t, s in changes.items()] + [once.ingest_log(t, s) for t, s in logs.items()]
         await_all(raw)
+        await_all([once.keep_dim(t) for t in schemas.BASE_TABLES if {t, *dim.LINKS.get(t, {})} & set(changes)])
         facts = [t for t in (*changes, *logs) if t in (*KEYED_FACTS, *APPENDED)]
         await_all([once.enrich(t) for t in facts])
         sources = {f"dwd.{t}" for t in facts}
@@ -277,7 +360,7 @@ class Jobs:
         append_log(rows, self.lake.path(name), batch_id, cluster, writer=batch_id.rpartition(".")[0])
 
     def _follow_changes(self, name: str) -> DataFrame:
-        columns = [(c, t) for c, t in self._shape(name)] + [("_op", "string"), ("_ts", "bigint"), ("_seq", "bigint")]
+        columns = [(c, t) for c, t in self._shape(name)] + [("_op", "string"), ("_ts", "bigint"), ("_seq", changelog.POSITION)]
         return change_stream(self.spark, self.lake.changes(name), columns, self.max_files)
 
     def _follow_appends(self, name: str) -> DataFrame:

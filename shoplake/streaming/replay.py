@@ -11,20 +11,26 @@ def write_records(rows: DataFrame, path: str) -> None:
     rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("append").text(path)
 
 
-def write_changes(rows: DataFrame, path: str, op: str, seq: Column, before: DataFrame | None = None) -> None:
+def write_changes(
+    rows: DataFrame, path: str, op: str, seq: Column, before: DataFrame | None = None, file: str | None = None
+) -> None:
     """Add rows as change records.
 
     Creations carry the row as their new state and deletes as their old one.
-    An update also needs ``before``, the old states with the same ``id``.
+    An update also needs ``before``, the old states with the same ``id``.  With ``file`` the records say where they stand in
+    that log file, as capture tools do, instead of giving a plain number.
     """
     image = F.struct(*rows.columns)
     seq = seq.cast("bigint").alias("seq")
+    if file:
+        seq = F.struct(F.lit(file).alias("file"), seq.alias("pos"), F.lit(0).alias("row")).alias("source")
+    place = "source" if file else "seq"
     if op == "u":
         if before is None:
             raise ValueError("an update needs the rows before it")
         old = before.select(F.col("id").alias("_id"), F.struct(*before.columns).alias("before"))
         states = rows.select("id", image.alias("after"), seq).join(old, F.col("id") == F.col("_id"))
-        records = states.select(F.lit(op).alias("op"), F.lit(0).alias("ts_ms"), "seq", "before", "after")
+        records = states.select(F.lit(op).alias("op"), F.lit(0).alias("ts_ms"), place, "before", "after")
     else:
         name = "before" if op == "d" else "after"
         records = rows.select(F.lit(op).alias("op"), F.lit(0).alias("ts_ms"), seq, image.alias(name))

@@ -222,3 +222,162 @@ def test_a_log_refuses_a_second_stream(jobs, tmp_path, spark):
     with pytest.raises(Exception, match="another stream"):
         other.run_once({}, {"log_page_view": str(src)}, [])
     assert jobs.lake.stored("ods.log_page_view").count() == 1
+
+
+def test_transitions_follow_the_table_not_the_source(spark):
+    from shoplake.operators.changelog import apply_changes, transitions
+
+    ddl = "id long, v int, _op string, _ts long, _seq long"
+    current = spark.createDataFrame([(1, 10, "U", 5, 5), (2, 20, "U", 5, 5), (3, 30, "D", 5, 5), (4, 40, "U", 5, 5)], ddl)
+    changes = [
+        (1, 11, "U", 6, 6), (1, 12, "U", 7, 7), (1, 99, "B", 7, 7),  # two updates: only the last counts, images do not
+        (2, 19, "U", 4, 4), (2, 20, "U", 5, 5),  # late and repeated: nothing happens
+        (3, 31, "U", 6, 6), (4, 40, "D", 6, 6), (5, 50, "U", 1, 1), (6, 60, "D", 1, 1),
+    ]
+    rows = spark.createDataFrame(changes, ddl)
+    got = sorted((r.id, r.v, r._op) for r in transitions(current, rows, ["id"]).collect())
+    assert got == [(1, 10, "B"), (1, 12, "U"), (3, 31, "U"), (4, 40, "B"), (5, 50, "U")]
+    before = sum(r.v for r in current.where("_op = 'U'").collect())
+    after = sum(r.v for r in apply_changes(current, rows, ["id"]).where("_op = 'U'").collect())
+    assert before + sum(v if op == "U" else -v for _, v, op in got) == after
+
+
+def test_repeated_batches_are_added_once(spark):
+    from shoplake.operators.deltas import folded
+
+    def fold(current, rows, batch):
+        deltas = spark.createDataFrame(rows, "k string, n long, m long")
+        return folded(current, deltas, ["k"], ["n", "m"], batch).cache()
+
+    first = fold(None, [("a", 2, 5), ("b", 1, 1)], 0)
+    second = fold(first, [("a", 1, 1), ("b", -1, -1), ("c", 1, 9)], 1)
+    half = second.where("k = 'a'").unionByName(first.where("k = 'b'"))  # a run that died between two partitions
+    want = [("a", 3, 6, 2, 1), ("b", 0, 0, 1, 1), ("c", 1, 9, 0, 1)]
+    for state in (second, fold(second, [("a", 1, 1), ("b", -1, -1), ("c", 1, 9)], 1), fold(half, [("a", 1, 1), ("b", -1, -1), ("c", 1, 9)], 1)):
+        assert sorted(tuple(r) for r in state.select("k", "n", "m", "_before", "_batch").collect()) == want
+    third = fold(second, [("a", -3, -6)], 2)
+    assert sorted(tuple(r) for r in third.select("k", "n", "_before").collect()) == [("a", 0, 3), ("c", 1, 0)]
+
+
+def test_distinct_counts_and_attributes_go_down(spark, jobs, tmp_path):
+    """The state of an aggregate with a distinct count, fed with signed rows."""
+    from shoplake.operators import deltas
+
+    stats = dws.STATS["log_page_stats"]
+
+    def batch(number, rows):
+        views = spark.createDataFrame(rows, "page_id string, dt string, page_name string, user_id long, during_time int, jump_count int, _s int")
+        jobs._add("dws.test", stats, deltas.signed(views, stats, "log_page_view", views["_s"]), f"s.{number}")
+        stored = jobs.lake.stored("dws.test")
+        return {r.page_id: (r.page_name, r.pv, r.uv, r.total_during_time) for r in stored.collect()}
+
+    one = [("p", "2024-01-01", n, u, 5, 0, 1) for n, u in (("old", 1), ("old", 1), ("new", 2), (None, None))]
+    assert batch(0, one) == {"p": ("old", 4, 2, 20)}
+    two = [("p", "2024-01-01", "old", 1, 5, 0, -1), ("q", "2024-01-01", None, 1, 1, 0, 1)]
+    for _ in range(2):  # the second time is a repetition
+        assert batch(1, two) == {"p": ("old", 3, 2, 15), "q": (None, 1, 1, 1)}
+    three = [("p", "2024-01-01", "old", 1, 5, 0, -1), ("q", "2024-01-01", None, 1, 1, 0, -1)]
+    assert batch(2, three) == {"p": ("new", 2, 1, 10)}
+
+
+def test_aggregates_read_their_state_only(jobs, tmp_path):
+    """Facts may vanish once their changes are added."""
+    src = tmp_path / "order_info"
+    put(src, 1, [change("c", 1, None, order(1)), change("c", 2, None, order(2, user=2))])
+    jobs.run_once({"order_info": str(src)}, {}, ["trade_user_stats"])
+    put(src, 2, [change("c", 3, None, order(3))])
+    await_all([jobs.ingest_changes("order_info", str(src))])
+    await_all([jobs.enrich("order_info")])
+    files.remove(jobs.spark, jobs.lake.path("dwd.order_info"))
+    await_all([jobs.aggregate("trade_user_stats")])
+    got = {r.user_id: r.order_count for r in jobs.lake.stored("dws.trade_user_stats").collect()}
+    assert got == {1: 2, 2: 1}
+
+
+def test_dimensions_follow_every_table_they_name(jobs, spark, tmp_path):
+    src = {t: tmp_path / t for t in ("base_brand", "base_category", "spu_info", "sku_info")}
+    brand = {"id": 1, "brand_name": "acme"}
+    tree = [{"id": 1, "category_name": "top", "parent_id": None}, {"id": 2, "category_name": "mid", "parent_id": 1},
+            {"id": 3, "category_name": "leaf", "parent_id": 2}, {"id": 4, "category_name": "other", "parent_id": None}]
+    spu = {"id": 10, "spu_name": "cup", "brand_id": 1, "category3_id": 3}
+    skus = [{"id": n, "sku_name": f"s{n}", "spu_id": 10, "brand_id": 1, "category3_id": 3} for n in (100, 101)]
+    put(src["base_brand"], 1, [change("c", 1, None, brand)])
+    put(src["base_category"], 1, [change("c", n, None, c) for n, c in enumerate(tree)])
+    put(src["spu_info"], 1, [change("c", 1, None, spu)])
+    put(src["sku_info"], 1, [change("c", n, None, k) for n, k in enumerate(skus)] + [change("c", 9, None, {"id": 102, "sku_name": "lone"})])
+    changes = {t: str(p) for t, p in src.items()}
+    jobs.run_once(changes, {}, [])
+
+    def dims():
+        rows = jobs.lake.stored("dim.sku_info").collect()
+        return {r.id: (r.sku_name, r.spu_name, r.brand_name, r.category1_name, r.category3_name) for r in rows}
+
+    whole = ("cup", "acme", "top", "leaf")
+    assert dims() == {100: ("s100", *whole), 101: ("s101", *whole), 102: ("lone", None, None, None, None)}
+    put(src["base_brand"], 2, [change("u", 20, brand, {**brand, "brand_name": "emca"})])
+    put(src["base_category"], 2, [change("u", 21, tree[0], {**tree[0], "category_name": "TOP"})])
+    jobs.run_once({t: changes[t] for t in ("base_brand", "base_category")}, {}, [])
+    whole = ("cup", "emca", "TOP", "leaf")
+    assert dims() == {100: ("s100", *whole), 101: ("s101", *whole), 102: ("lone", None, None, None, None)}
+    spus = jobs.lake.stored("dim.spu_info").collect()
+    assert [(r.brand_name, r.category1_name) for r in spus] == [("emca", "TOP")]
+    assert {r.category1_name for r in jobs.lake.stored("dim.base_category").where("id < 4 and id > 1").collect()} == {None, "TOP"}
+    put(src["base_brand"], 3, [change("d", 30, {**brand, "brand_name": "emca"})])
+    put(src["sku_info"], 2, [change("d", 31, skus[1])])
+    put(src["spu_info"], 2, [change("u", 32, spu, {**spu, "spu_name": "mug"})])
+    versions = files.subdirectories(spark, jobs.lake.path("dim.base_category"))
+    jobs.run_once({t: changes[t] for t in ("base_brand", "sku_info", "spu_info")}, {}, [])
+    assert dims() == {100: ("s100", "mug", None, "TOP", "leaf"), 102: ("lone", None, None, None, None)}
+    assert files.subdirectories(spark, jobs.lake.path("dim.base_category")) == versions  # nothing reached it
+    inputs = [jobs._input(i) for i in ("ods.sku_info", "ods.spu_info", "ods.base_brand", "dim.base_category")]
+    from shoplake.plans import dim
+
+    stored = jobs.lake.stored("dim.sku_info")
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, dim.sku_info(*inputs).select(stored.columns).collect()))
+
+
+def placed(op, file, pos, before=None, after=None, row=0):
+    source = {"file": f"log-bin.{file:06d}", "pos": pos, "row": row, "ts_ms": 5}
+    return {"op": op, "ts_ms": 9999 - pos, "source": source, "before": before, "after": after}
+
+
+def test_snapshot_hands_over_to_the_log(jobs, spark, tmp_path):
+    src = tmp_path / "order_info"
+    ddl = "id long, user_id long, total_amount string, create_time string"
+    day = "2024-01-01 10:00:00"
+    snapshot = spark.createDataFrame([(1, 1, "11.00", day), (2, 1, "20.00", day)], ddl)
+    put(src, 1, [
+        placed("c", 1, 900, None, order(1)), placed("c", 1, 950, None, order(7)),  # 7 was deleted where the log is lost
+        placed("u", 2, 4, order(1), order(1, amount="11.00")),
+        placed("u", 2, 10, order(1, amount="11.00"), order(1, amount="12.00")),  # after the snapshot
+        placed("u", 2, 10, order(2, amount="20.00"), order(2, amount="21.00"), row=1),
+        placed("u", 10, 2, order(2, amount="21.00"), order(2, amount="22.00")),  # file 10 is later than 2
+        placed("c", 2, 11, None, order(3)),
+    ])
+    jobs.load_snapshot("order_info", snapshot, position=(2, 4))
+    await_all([jobs.ingest_changes("order_info", str(src))])
+    assert [(i, a) for i, _, _, a in orders(jobs)] == [(1, "12.00"), (2, "22.00"), (3, "10.00")]
+    again = spark.createDataFrame([(2, 1, "23.00", day), (3, 1, "10.00", day)], ddl)
+    jobs.load_snapshot("order_info", again, position=(10, 7))  # 1 is gone
+    put(src, 2, [placed("u", 10, 6, order(2), order(2, amount="0.00")), placed("c", 10, 8, None, order(4))])
+    await_all([jobs.ingest_changes("order_info", str(src))])
+    assert [(i, a) for i, _, _, a in orders(jobs)] == [(2, "23.00"), (3, "10.00"), (4, "10.00")]
+    with pytest.raises(ValueError, match="position"):
+        jobs.ingest_changes("user_info", str(src))
+
+
+def test_repeated_append_writes_only_missing_days(jobs, spark):
+    from shoplake.operators.sinks import append_log
+
+    path = jobs.lake.path("ods.log_error")
+    rows = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02"), ("c", None)], "mid string, dt string")
+    append_log(rows, path, "s.0")
+    files.remove(spark, f"{path}/day=2024-01-02/batch=s.0")  # as if the first run had not come so far
+    kept = {p.name: p.stat().st_mtime_ns for p in Path(path).rglob("*.orc")}
+    append_log(rows, path, "s.0")
+    assert sorted(r.mid for r in jobs.lake.stored("ods.log_error").collect()) == ["a", "b", "c"]
+    now = {p.name: p.stat().st_mtime_ns for p in Path(path).rglob("*.orc")}
+    assert kept.items() <= now.items()
+    append_log(rows, path, "s.1")
+    assert jobs.lake.stored("ods.log_error").count() == 6
+    assert files.subdirectories(spark, f"{path}/_begun") == ["s.1"]
