@@ -23,6 +23,7 @@ from shoplake.operators import (
 from shoplake.plans import Warehouse, ods
 from shoplake.plans.warehouse import RULES
 from shoplake.operators.lake import Lake, scratch_root
+from shoplake.operators.lateness import Watermark
 from shoplake.session import tune
 from shoplake.sources import adapted, cdc_records, parse_log, snapshot_scan
 from shoplake.streaming import Jobs
@@ -258,6 +259,131 @@ def _stream_restart_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(jobs, "dwd.cart_info", "dwd_cart_info")
 
 
+def _stream_trade_sku_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines and carts to one aggregate; lines come as one unit too few, are corrected, and some come twice."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    for table in ("user_info", "coupon_info", "sku_info", "spu_info", "base_brand", "base_category"):
+        jobs.load_snapshot(table, source(table))
+    jobs.build_dims()
+    lines, carts = source("order_detail"), source("cart_info")
+    fewer = lines.withColumn("sku_num", (F.col("sku_num") - 1).cast(dict(lines.dtypes)["sku_num"]))
+    inboxes = {t: f"{inbox}/{t}" for t in ("order_detail", "cart_info")}
+    write_changes(fewer, inboxes["order_detail"], "c", F.col("id"))
+    write_changes(carts, inboxes["cart_info"], "c", F.col("id"))
+    jobs.run_once(inboxes, {}, ["trade_sku_stats"])
+    write_changes(lines, inboxes["order_detail"], "u", F.col("id") + (1 << 40), before=fewer)
+    write_changes(carts.where("id % 3 = 0"), inboxes["cart_info"], "c", F.col("id"))
+    jobs.run_once(inboxes, {}, ["trade_sku_stats"])
+    return _stored(jobs, "dws.trade_sku_stats", "dws_trade_sku_stats")
+
+
+def _stream_dim_sku_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products by their change logs; then every brand and the top categories are renamed and some spus change."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    changes = {t: f"{inbox}/{t}" for t in ("base_brand", "base_category", "spu_info", "sku_info")}
+    first = {t: source(t) for t in changes}
+    first["base_brand"] = first["base_brand"].withColumn("brand_name", F.concat(F.lit("old "), "brand_name"))
+    first["base_category"] = first["base_category"].withColumn(
+        "category_name", F.when(F.col("level") == 1, F.lit("old")).otherwise(F.col("category_name"))
+    )
+    first["spu_info"] = first["spu_info"].withColumn("spu_name", F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("spu_name")))
+    for table, rows in first.items():
+        write_changes(rows, changes[table], "c", F.col("id"))
+    jobs.run_once(changes, {}, [])
+    later = {"base_brand": F.lit(True), "base_category": F.col("level") == 1, "spu_info": F.col("id") % 5 == 0}
+    for table, some in later.items():
+        write_changes(source(table).where(some), changes[table], "u", F.col("id") + (1 << 40), before=first[table])
+    jobs.run_once({t: changes[t] for t in later}, {}, [])
+    return _stored(jobs, "dim.sku_info", "dim_sku_info")
+
+
+def _src_cdc_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of the orders, taken in the middle of a log that tells all of it again, and what came after."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    orders = source("order_info")
+    early = F.col("id") % 2 == 0
+    # Up to the snapshot: all orders were created, those of even ids were corrected, and some that are gone by then were there.
+    gone = orders.where("id % 10 = 3").withColumn("id", -F.col("id"))
+    write_changes(_as_created(orders).unionByName(gone.select(orders.columns)), inbox, "c", F.abs("id"), file="log.000001")
+    write_changes(orders.where(early), inbox, "u", F.col("id"), before=_as_created(orders), file="log.000009")
+    write_changes(orders.where(~early), inbox, "u", F.col("id"), before=_as_created(orders), file="log.000010")
+    snapshot = orders.where(early).unionByName(_as_created(orders).where(~early).select(orders.columns))
+    jobs.load_snapshot("order_info", snapshot, position=(9, 1 << 40))
+    await_all([jobs.ingest_changes("order_info", inbox)])
+    return _stored(jobs, "ods.order_info", "ods_order_info")
+
+
+def _stream_bad_rows_tolerated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as error logs, one in thirty broken and one in thirty of a user that is no number: under ten in a hundred."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    kind = F.col("event_id") % 30
+    record = F.to_json(
+        F.struct(
+            "mid",
+            F.when(kind == 1, "nobody").otherwise(F.col("user_id").cast("string")).alias("user_id"),
+            F.col("event_type").alias("err_code"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("create_time"),
+        )
+    )
+    broken = F.when(kind == 0, F.regexp_replace(record, "}$", "")).otherwise(record)
+    source("ev").select(broken.alias("value")).write.text(inbox)
+    await_all([jobs.ingest_log("log_error", inbox, bad_rows=0.1)])
+    columns = ["mid", "user_id", "err_code", "create_time"]
+    kept = jobs.lake.stored("ods.log_error").select(*columns, F.lit("").alias("reason"))
+    aside = jobs.quarantined("log_error").select(*columns, F.array_join("_bad", ",").alias("reason"))
+    return plain(kept.unionAll(aside))
+
+
+def _stream_watermark_option(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the page views first, then the rows of days long past, by both settings: rows and late rows per day."""
+    out = []
+    for drop in (False, True):
+        jobs, source, inbox = _jobs(spark, sf_dir)
+        views = source("log_page_view")
+        late = F.dayofmonth("create_time") <= 15
+        for rows in (views.where(~late | late.isNull()), views.where(late)):
+            write_records(rows, inbox)
+            await_all([jobs.ingest_log("log_page_view", inbox, watermark=Watermark("1 day", drop))])
+        day = F.date_format("create_time", "yyyy-MM-dd").alias("dt")
+        kept, noted = F.lit(1).alias("kept"), F.lit(0).alias("noted")
+        rows = jobs.lake.stored("ods.log_page_view").select(day, kept, noted)
+        rows = rows.unionAll(jobs.late("log_page_view")[0].select(day, F.lit(0), F.lit(1)))
+        sums = rows.groupBy("dt").agg(F.sum("kept").alias("kept_rows"), F.sum("noted").alias("late_rows"))
+        out.append(sums.select(F.lit("drop" if drop else "keep").alias("setting"), "dt", "kept_rows", "late_rows"))
+    return plain(out[0].unionAll(out[1]))
+
+
+def _stream_log_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error logs whose producer sends everything twice; then the checkpoint is lost and the log is read from its beginning."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    key = ["mid", "user_id", "err_code", "create_time"]
+    logs = source("log_error").withColumn("create_time", F.date_trunc("second", "create_time").cast("timestamp_ntz"))
+    for _ in range(2):
+        write_records(logs, inbox)
+    await_all([jobs.ingest_log("log_error", inbox, Watermark("100 days"), event_key=key)])
+    lake = Lake(spark, jobs.lake.root, checkpoints=f"{jobs.lake.root}/checkpoints-lost")
+    await_all([Jobs(lake, {"availableNow": True}).ingest_log("log_error", inbox, Watermark("100 days"), event_key=key)])
+    return _stored(jobs, "ods.log_error", "ods_log_error")
+
+
+def _mv_refresh_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of one day in ten are corrected after the scheduled aggregates were built; only their days are built again."""
+    jobs, source, inbox = _jobs(spark, sf_dir)
+    jobs.load_snapshot("user_info", source("user_info"))
+    jobs.load_snapshot("base_region", source("base_region"))
+    jobs.build_dims()
+    orders = source("order_info")
+    some = F.dayofmonth("create_time") % 10 == 0
+    before = _as_created(orders)
+    write_changes(before.where(some).unionByName(orders.where(~some).select(before.columns)), inbox, "c", F.col("id"))
+    jobs.run_once({"order_info": inbox}, {}, [])
+    jobs.refresh_changed(["trade_region_stats"])
+    write_changes(orders.where(some), inbox, "u", F.col("id") + (1 << 40), before=before)
+    jobs.run_once({"order_info": inbox}, {}, [])
+    jobs.refresh_changed(["trade_region_stats"])
+    return _stored(jobs, "dws.trade_region_stats", "dws_trade_region_stats")
+
+
 def _view_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A view by its name in SQL."""
     warehouse(spark, sf_dir).register_views("ads.region_trade_overview")
@@ -293,6 +419,13 @@ def queries() -> dict[str, Query]:
             "log_user_action_stats",
             ("log_startup", "log_page_view", "log_action", "log_display", "log_error"),
         ),
+        "stream_trade_sku_stats": _stream_trade_sku_stats,
+        "stream_dim_sku_info": _stream_dim_sku_info,
+        "src_cdc_handoff": _src_cdc_handoff,
+        "stream_bad_rows_tolerated": _stream_bad_rows_tolerated,
+        "stream_watermark_option": _stream_watermark_option,
+        "stream_log_replayed": _stream_log_replayed,
+        "mv_refresh_changed_days": _mv_refresh_changed_days,
         "stream_late_rows_kept": _stream_late_rows_kept,
         "stream_restart_idempotent": _stream_restart_idempotent,
         "view_registration": _view_registration,

@@ -238,6 +238,10 @@ for _stream, _batch in {
     "stream_sku_exposure_stats": "dws_log_sku_exposure_stats",
     "stream_user_action_stats": "dws_log_user_action_stats",
     "stream_late_rows_kept": "dws_log_page_stats",
+    "stream_trade_sku_stats": "dws_trade_sku_stats",
+    "stream_dim_sku_info": "dim_sku_info",
+    "src_cdc_handoff": "ods_order_info",
+    "mv_refresh_changed_days": "dws_trade_region_stats",
     "stream_restart_idempotent": "dwd_cart_info",
     "view_registration": "ads_region_trade_overview",
 }.items():
@@ -374,6 +378,19 @@ REPORTS: dict[str, str] = {
     "case when event_id % 5 <> 2 then event_type end as err_code, "
     "strftime(ts, '%Y-%m-%d %H:%M:%S') as create_time, strftime(ts, '%Y-%m-%d') as dt "
     "from ev where event_id % 5 <> 0",
+    # One event in thirty is broken, the next has a wrong user id; both are set aside.
+    "stream_bad_rows_tolerated": "select case when event_id % 30 <> 0 then mid end as mid, "
+    "case when event_id % 30 > 1 then user_id end as user_id, case when event_id % 30 <> 0 then event_type end as err_code, "
+    "case when event_id % 30 <> 0 then strftime(ts, '%Y-%m-%d %H:%M:%S') end as create_time, "
+    "case event_id % 30 when 0 then 'no JSON object' when 1 then 'bad user_id' else '' end as reason from ev",
+    # Late are rows of the second batch that lie more than a day before the newest of the first.
+    "stream_watermark_option": "select setting, strftime(create_time, '%Y-%m-%d') as dt, "
+    "count(*) filter (not late or setting = 'keep') as kept_rows, count(*) filter (late) as late_rows from "
+    "(select create_time, dayofmonth(create_time) <= 15 and create_time < (select max(n.create_time) from log_page_view n "
+    "where dayofmonth(n.create_time) > 15) - interval '1' day as late from log_page_view) v, "
+    "(values ('keep'), ('drop')) s(setting) group by 1, 2",
+    "stream_log_replayed": "select distinct mid, cast(user_id as bigint) as user_id, err_code, err_name, "
+    "strftime(create_time, '%Y-%m-%d %H:%M:%S') as create_time, strftime(create_time, '%Y-%m-%d') as dt from log_error",
     "dws_retention_window": out(
         "dws_trade_user_stats",
         f"user_id:i dt:d {_USER_STATS}",

@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplake.operators.gate import reasons
 from shoplake.operators.measures import Stats, aligned
 
 
@@ -30,13 +31,18 @@ def signed(rows: DataFrame, stats: Stats, fact: str, sign: Column) -> DataFrame:
     return shaped.withColumn("dt", F.col("dt").cast("string"))
 
 
+def _wide(typ: str) -> str:
+    """Sums in the state have room for more than the result's type."""
+    return "decimal(38,4)" if typ.startswith("decimal") else typ
+
+
 def _counters(stats: Stats) -> dict[str, str]:
-    return {"n": "bigint", **stats.types, **dict.fromkeys(stats.distinct, "bigint")}
+    return {"n": "bigint", **{m: _wide(t) for m, t in stats.types.items()}, **dict.fromkeys(stats.distinct, "bigint")}
 
 
 def cell_deltas(rows: DataFrame, stats: Stats) -> DataFrame:
     """Signed rows summed per group and attributes."""
-    sums = [F.sum(F.when(F.col("_sign") < 0, -F.col(m)).otherwise(F.col(m))).cast(t).alias(m) for m, t in stats.types.items()]
+    sums = [F.sum(F.when(F.col("_sign") < 0, -F.col(m)).otherwise(F.col(m))).cast(_wide(t)).alias(m) for m, t in stats.types.items()]
     steps = [F.lit(0).cast("bigint").alias(c) for c in stats.distinct]
     cells = rows.groupBy(*stats.keys, *stats.attrs).agg(F.sum("_sign").cast("bigint").alias("n"), *sums)
     return cells.select(*stats.keys, *stats.attrs, "n", *stats.types, *steps)
@@ -109,9 +115,15 @@ def merged_cells(cells: DataFrame, stats: Stats) -> DataFrame:
 
 
 def groups(cells: DataFrame, stats: Stats) -> DataFrame:
-    """The aggregate's rows from the cells, with ``_op`` ``D`` for groups that have no rows left."""
+    """The aggregate's rows from the cells, with ``_op`` ``D`` for groups that have no rows left.
+
+    A sum that does not fit its type is NULL and named in ``_bad``.
+    """
     alive = F.col("n") > 0
     attrs = [F.max(F.when(alive, F.col(a))).alias(a) for a in stats.attrs]
-    sums = [F.sum(c).cast(t).alias(c) for c, t in _counters(stats).items()]
-    rows = cells.groupBy(*stats.keys).agg(*attrs, *sums)
-    return rows.withColumn("_op", F.when(F.col("n") > 0, "U").otherwise("D")).drop("n")
+    rows = cells.groupBy(*stats.keys).agg(*attrs, *[F.sum(c).alias(c) for c in _counters(stats)])
+    typed = {m: F.col(m).try_cast(t) for m, t in stats.types.items()}
+    bad = reasons({f"{m} too large": F.col(m).isNotNull() & v.isNull() for m, v in typed.items()})
+    op = F.when(F.col("n") > 0, "U").otherwise("D").alias("_op")
+    sums = [v.alias(m) for m, v in typed.items()]
+    return rows.select(*stats.keys, *stats.attrs, *sums, *stats.distinct, op, bad.alias("_bad"))

@@ -30,6 +30,20 @@ def text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    """Write a small file, whole or not at all: it is written aside and moved."""
+    fs, p = _open(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.new")
+    stream = fs.create(aside, True)
+    try:
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
+    fs.delete(p, False)
+    if not fs.rename(aside, p):
+        raise OSError(f"cannot write {path}")
+
+
 def make(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.mkdirs(p)

@@ -76,7 +76,7 @@ def overwrite_days(df: DataFrame, path: str, whole: bool) -> None:
 # --- append-only ---------------------------------------------------------------
 
 
-_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def append_log(
@@ -110,7 +110,7 @@ def append_log(
     if files.exists(spark, begun):
         days = [n for n in files.subdirectories(spark, path) if n.startswith("day=")]
         done = [n[4:] for n in days if files.exists(spark, f"{path}/{n}/batch={batch_id}")]
-        df = df.where(~F.coalesce("day", F.lit(_NO_DAY)).isin(done))
+        df = df.where(~F.coalesce("day", F.lit(NO_DAY)).isin(done))
     else:
         for old in files.subdirectories(spark, f"{path}/_begun"):
             if old.rpartition(".")[0] == str(batch_id).rpartition(".")[0]:

@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from shoplake import schemas
-from shoplake.operators import change_rows, changelog, deltas, files
+from shoplake.operators import change_rows, changelog, deltas, files, gate, lateness
 from shoplake.operators.lake import Lake, empty
+from shoplake.operators.lateness import Watermark
 from shoplake.operators.measures import Stats
 from shoplake.operators.sinks import (
+    NO_DAY,
     append_log,
     current_version,
     fold_partitioned,
@@ -100,19 +102,43 @@ class Jobs:
         for table in ("base_brand", "base_dic", "base_region", "base_category", *KEYED_DIMS):
             self.build(f"dim.{table}")
 
-    def refresh(self, tables: Sequence[str] = REFRESHED, days: Sequence[str] | None = None) -> None:
+    def refresh(self, tables: Sequence[str] = REFRESHED, days: Sequence[str | None] | None = None) -> None:
         """Recompute the scheduled aggregates: in full, or only for the given days.
 
         Every one of them has the day in its key, so the days whose facts have
-        changed can be recomputed alone; only their partitions are read and replaced.
+        changed can be recomputed alone; only their partitions are read and replaced.  None is the day of facts without one.
         """
         for table in tables:
             build, inputs = RULES[f"dws.{table}"]
             facts = [self._input(i) for i in inputs]
             if days is not None:
-                facts = [f.where(F.col("dt").isin(list(days))) for f in facts]
+                facts = [f.where(_in_days(days)) for f in facts]
             overwrite_days(build(*facts), self.lake.path(f"dws.{table}"), whole=days is None)
 
+    def refresh_changed(self, tables: Sequence[str] = REFRESHED) -> dict[str, list[str]]:
+        """Recompute the days of the scheduled aggregates whose facts have changed since the last time; returns them.
+
+        Streams note the days they touch in a ledger.  What is in it before the facts are read is taken off afterwards, so a day
+        that changes meanwhile, or a run that dies, is taken up by the next one.  A day left without rows is deleted.
+        """
+        done = {}
+        for table in tables:
+            ledger, path = self.lake.path(f"ledger.{table}"), self.lake.path(f"dws.{table}")
+            noted = {d: files.subdirectories(self.spark, f"{ledger}/{d}") for d in files.subdirectories(self.spark, ledger)}
+            days = sorted(d for d, batches in noted.items() if batches)
+            if days:
+                asked = [None if d == NO_DAY else d for d in days]
+                self.refresh([table], asked)
+                facts = [self._input(i).where(_in_days(asked)).select("dt") for i in RULES[f"dws.{table}"][1]]
+                there = {r.dt or NO_DAY for r in reduce(DataFrame.union, facts).distinct().collect()}  # at most the changed days
+                for day in set(days) - there:
+                    files.remove(self.spark, f"{path}/dt={day}")
+            for day, batches in noted.items():
+                for batch in batches:
+                    files.remove(self.spark, f"{ledger}/{day}/{batch}")
+            done[table] = days
+        return done
+
     def warehouse(self, **days) -> Warehouse:
         """Views and reports over the stored tables."""
         return Warehouse(lambda name: self.lake.stored(name) if not name.startswith("raw.") else None, **days)
@@ -153,11 +179,64 @@ class Jobs:
 
         return self._start(name, records, fold)
 
-    def ingest_log(self, table: str, source: str | dict) -> StreamingQuery:
-        """JSON log records into the raw log table."""
-        name = f"ods.{table}"
-        rows = json_log_stream(self.spark, table, source, self.max_files)
-        return self._start(name, rows, lambda batch, n: self._append(name, ods.load(table, batch), n))
+    def ingest_log(
+        self,
+        table: str,
+        source: str | dict,
+        watermark: Watermark | None = None,
+        event_key: Sequence[str] | None = None,
+        bad_rows: float | None = None,
+    ) -> StreamingQuery:
+        """JSON log records into the raw log table.
+
+        * By default every record that can be read is kept, however late, and others are dropped without notice.
+        * ``watermark`` notes late rows beside the table (:meth:`late`) and may keep them out of it.
+        * ``event_key`` names the columns that tell events apart.  An event that comes again within the watermark's delay is
+          left out by the stream's state, which also drops rows later than that, so choose it long; rows without a time are
+          compared within their batch only.  A stream that lost its checkpoint leaves out what the table has.
+        * ``bad_rows`` is the share of bad records a batch may have.  They go to a quarantine (:meth:`quarantined`), more of
+          them stop the stream.
+        """
+        name, time = f"ods.{table}", ods.event_time(table)
+        rows = json_log_stream(self.spark, table, source, self.max_files, checked=bad_rows is not None)
+        if watermark or event_key:
+            delay = (watermark or Watermark()).delay
+            # The engine's marks need a time with a zone; the column itself stays as it is.
+            rows = rows.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
+        if event_key:
+            rows = rows.dropDuplicatesWithinWatermark(list(event_key))
+
+        def take(batch: DataFrame, n: str) -> None:
+            batch = batch.drop("_time")
+            if bad_rows is not None:
+                batch = gate.gated(batch, "_bad", self.lake.path(f"quarantine.{table}"), n, bad_rows).drop("_text")
+            if watermark:
+                late = lateness.before(self.spark, self.lake.path(f"late.{table}"), n)
+                batch = lateness.judged(batch, time, late)
+                lateness.side_output(batch, time, late, watermark)
+                batch = (batch.where("not _late") if watermark.drop else batch).drop("_late")
+            self._append(name, ods.load(table, batch), n, event_key=event_key)
+
+        def once(batch: DataFrame, n: str) -> None:
+            batch.persist()
+            try:
+                take(batch, n)
+            finally:
+                batch.unpersist()
+
+        return self._start(name, rows, once)
+
+    def late(self, table: str) -> tuple[DataFrame | None, DataFrame]:
+        """Late rows of a log that is read with a watermark, and mark, rows and late rows of each of its batches."""
+        path = self.lake.path(f"late.{table}")
+        return self._aside(path), lateness.counts(self.spark, path)
+
+    def quarantined(self, table: str) -> DataFrame | None:
+        """Bad rows of a log or an aggregate, with ``_bad``, the reasons; None if none was ever set aside."""
+        return self._aside(self.lake.path(f"quarantine.{table}"))
+
+    def _aside(self, path: str) -> DataFrame | None:
+        return self.spark.read.orc(path).drop("batch") if files.subdirectories(self.spark, path) else None
 
     # --- dimensions ----------------------------------------------------------
 
@@ -275,9 +354,13 @@ class Jobs:
             return
         touched = known.where(F.col("_batch") == batch).select(*stats.keys).distinct()
         groups = deltas.groups(known.join(touched, list(stats.keys), "left_semi"), stats)
-        groups = groups.withColumn("_ts", F.lit(0).cast("bigint")).withColumn("_seq", changelog.position(0, 0))
-        path, buckets = self.lake.path(name), self.lake.buckets
-        upsert_partitioned(groups, path, keys=stats.keys, batch_id=n, buckets=buckets, replace=True)
+        groups = groups.withColumn("_ts", F.lit(0).cast("bigint")).withColumn("_seq", changelog.position(0, 0)).persist()
+        try:
+            good = gate.gated(groups, "_bad", self.lake.path(f"quarantine.{name.partition('.')[2]}"), n)
+            path, buckets = self.lake.path(name), self.lake.buckets
+            upsert_partitioned(good, path, keys=stats.keys, batch_id=n, buckets=buckets, replace=True)
+        finally:
+            groups.unpersist()
 
     def _fold_state(
         self, rows: DataFrame, path: str, keys: list[str], counters: list[str], parts_by: list[str], n: str, batch: int
@@ -339,6 +422,10 @@ class Jobs:
     def _fold(self, name: str, changes: DataFrame, batch_id: str, keys: Sequence[str]) -> None:
         """Upsert a batch and log it; followers of a raw table never run ahead of it."""
 
+        def note(rows: DataFrame, n: str) -> None:
+            if name.startswith("dwd."):
+                self._note_days(name, rows, n)
+
         def upsert(rows: DataFrame, n: str) -> None:
             partition = "dt" if "dt" in rows.columns else None
             upsert_partitioned(
@@ -354,10 +441,23 @@ class Jobs:
             )
 
         # Aggregates add what a fact table's rows were and are; that must be known before they are replaced.
-        multi_sink(changes, batch_id, [log_steps, upsert] if name.startswith("dwd.") else [upsert, log])
+        multi_sink(changes, batch_id, [note, log_steps, upsert] if name.startswith("dwd.") else [upsert, log])
 
-    def _append(self, name: str, rows: DataFrame, batch_id: str, cluster: str = "mid") -> None:
-        append_log(rows, self.lake.path(name), batch_id, cluster, writer=batch_id.rpartition(".")[0])
+    def _append(
+        self, name: str, rows: DataFrame, batch_id: str, cluster: str = "mid", event_key: Sequence[str] | None = None
+    ) -> None:
+        stream = batch_id.rpartition(".")[0]
+        self._note_days(name, rows, batch_id)
+        append_log(rows, self.lake.path(name), batch_id, cluster, stream, event_key)
+
+    def _note_days(self, name: str, rows: DataFrame, batch_id: str) -> None:
+        """Note for every scheduled aggregate which days of its facts a batch touches, before it does."""
+        readers = [t for t in REFRESHED if name in RULES[f"dws.{t}"][1]]
+        if not readers:
+            return
+        for (day,) in rows.select("dt").distinct().collect():  # days of one batch
+            for table in readers:
+                files.make(self.spark, f"{self.lake.path(f'ledger.{table}')}/{day or NO_DAY}/{batch_id}")
 
     def _follow_changes(self, name: str) -> DataFrame:
         columns = [(c, t) for c, t in self._shape(name)] + [("_op", "string"), ("_ts", "bigint"), ("_seq", changelog.POSITION)]
@@ -379,6 +479,10 @@ class Jobs:
         return self._shapes[name]
 
 
+def _in_days(days: Sequence[str | None]) -> Column:
+    return F.col("dt").isin([d for d in days if d is not None]) | (F.col("dt").isNull() if None in days else F.lit(False))
+
+
 def await_all(queries: Sequence[StreamingQuery]) -> None:
     """Wait for several streams; stop all when one fails."""
     try:

@@ -381,3 +381,116 @@ def test_repeated_append_writes_only_missing_days(jobs, spark):
     append_log(rows, path, "s.1")
     assert jobs.lake.stored("ods.log_error").count() == 6
     assert files.subdirectories(spark, f"{path}/_begun") == ["s.1"]
+
+
+def error(mid, time="2024-01-01 10:00:00", **more):
+    return {"mid": mid, "user_id": 1, "err_code": "E1", "create_time": time, **more}
+
+
+def test_few_bad_rows_are_set_aside_many_stop_the_stream(jobs, spark, tmp_path):
+    src = tmp_path / "log_error"
+    good = [error(f"m{n}") for n in range(18)]
+    put(src, 1, [*good, '{"mid": "cut', {**error("x"), "user_id": "nobody"}])
+    await_all([jobs.ingest_log("log_error", str(src), bad_rows=0.1)])
+    assert jobs.lake.stored("ods.log_error").count() == 18
+    aside = {(r.mid, r.user_id, tuple(r._bad)) for r in jobs.quarantined("log_error").collect()}
+    assert aside == {(None, None, ("no JSON object",)), ("x", None, ("bad user_id",))}
+    put(src, 2, [*good[:17], '{"mid": "cut', error("y", time="then"), error("z", time=None)])
+    with pytest.raises(Exception, match="3 of 20 rows"):
+        await_all([jobs.ingest_log("log_error", str(src), bad_rows=0.1)])
+    assert jobs.lake.stored("ods.log_error").count() == 18
+    assert {r._bad[0] for r in jobs.quarantined("log_error").where("mid in ('y', 'z')").collect()} == {"bad create_time", "no create_time"}
+    await_all([jobs.ingest_log("log_error", str(src), bad_rows=0.5)])  # the same batch, by a wider gate
+    assert jobs.lake.stored("ods.log_error").count() == 35
+    assert jobs.quarantined("log_error").count() == 5
+
+
+def test_sums_that_do_not_fit_are_set_aside(jobs, spark):
+    from shoplake.operators import deltas
+    from shoplake.operators.gate import TooManyBadRows
+
+    stats = dws.STATS["trade_user_stats"]
+
+    def add(number, users):
+        ddl = "user_id long, dt string, user_nick_name string, user_level tinyint, age_range string, gender tinyint, total_amount decimal(18,2), original_total_amount decimal(18,2), coupon_reduce_amount decimal(18,2)"
+        rows = [(u, "2024-01-01", "n", None, None, None, a, None, None) for u, a in users]
+        orders = spark.createDataFrame(rows, ddl)
+        from pyspark.sql import functions as F
+
+        jobs._add("dws.trade_user_stats", stats, deltas.signed(orders, stats, "order_info", F.lit(1)), f"s.{number}")
+
+    from decimal import Decimal
+
+    most = Decimal("99999999999999.00")
+    add(0, [(u, Decimal("1.00")) for u in range(12)] + [(99, most)])
+    add(1, [(u, Decimal("1.00")) for u in range(12)] + [(99, most)])
+    stored = {r.user_id: r.order_total_amount for r in jobs.lake.stored("dws.trade_user_stats").collect()}
+    assert stored[99] == most and set(stored[u] for u in range(12)) == {2}  # the group keeps what it had
+    assert [(r.user_id, r._bad) for r in jobs.quarantined("trade_user_stats").collect()] == [(99, ["order_total_amount too large"])]
+    with pytest.raises(TooManyBadRows):
+        add(2, [(99, most)])
+
+
+def test_watermark_notes_late_rows_and_restarts_with_its_mark(jobs, spark, tmp_path):
+    from shoplake.operators.lateness import Watermark
+
+    src = tmp_path / "log_error"
+    put(src, 1, [error("a", "2024-01-02 10:00:00"), error("b", "2024-01-02 09:00:00"), error("n", None)])
+    await_all([jobs.ingest_log("log_error", str(src), Watermark("30 minutes", drop=True))])
+    put(src, 2, [error("c", "2024-01-02 09:29:59"), error("d", "2024-01-02 09:30:00"), error("m", None)])
+    put(src, 3, [error("e", "2024-01-01 00:00:00")])
+    again = Jobs(jobs.lake, jobs.trigger, max_files=1)
+    await_all([again.ingest_log("log_error", str(src), Watermark("30 minutes", drop=True))])
+    assert sorted(r.mid for r in jobs.lake.stored("ods.log_error").collect()) == ["a", "b", "d", "m", "n"]
+    late, counts = jobs.late("log_error")
+    assert sorted(r.mid for r in late.collect()) == ["c", "e"]
+    seen = sorted((r.mark or "", r.rows, r.late) for r in counts.where("rows > 0").collect())
+    assert seen == [("", 3, 0), ("2024-01-02 09:30:00", 1, 1), ("2024-01-02 09:30:00", 3, 1)]
+
+
+def test_refresh_takes_only_changed_days(jobs, spark, tmp_path):
+    src = tmp_path / "order_info"
+    rows = [order(1), order(2, day="2024-01-02"), order(3, day="2024-01-03")]
+    put(src, 1, [change("c", n, None, o) for n, o in enumerate(rows)])
+    jobs.run_once({"order_info": str(src)}, {}, [])
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    mvs = ("trade_region_stats", "daily_order_users")
+    assert jobs.refresh_changed(mvs) == dict.fromkeys(mvs, days)
+    assert jobs.refresh_changed(mvs) == {t: [] for t in mvs}
+
+    def state(table):
+        path = Path(jobs.lake.path(f"dws.{table}"))
+        return {d.name: sorted((p.name, p.stat().st_mtime_ns) for p in d.glob("*.orc")) for d in path.glob("dt=*")}
+
+    before = {t: state(t) for t in mvs}
+    put(src, 2, [change("u", 10, rows[0], order(1, amount="99.00")), change("d", 11, rows[2])])
+    jobs.run_once({"order_info": str(src)}, {}, [])
+    assert jobs.refresh_changed(mvs) == dict.fromkeys(mvs, ["2024-01-01", "2024-01-03"])
+    for table in mvs:
+        after = state(table)
+        assert after["dt=2024-01-02"] == before[table]["dt=2024-01-02"] and after["dt=2024-01-01"] != before[table]["dt=2024-01-01"]
+        assert set(after) == {"dt=2024-01-01", "dt=2024-01-02"}  # the third day lost its last order
+    amounts = {str(r.dt): str(r.order_total_amount) for r in jobs.lake.stored("dws.trade_region_stats").collect()}
+    assert amounts == {"2024-01-01": "99.0000", "2024-01-02": "10.0000"}
+
+
+def test_event_keys_leave_out_what_comes_again(jobs, spark, tmp_path):
+    from shoplake.operators.lateness import Watermark
+
+    src = tmp_path / "log_error"
+    key = ["mid", "create_time"]
+    put(src, 1, [error("a"), error("a"), error("b"), error("b", "2024-01-01 10:00:01"), error(None), error(None), error("t", None)])
+    await_all([jobs.ingest_log("log_error", str(src), Watermark("1 day"), event_key=key)])
+    put(src, 2, [error("b"), error("c")])
+    await_all([jobs.ingest_log("log_error", str(src), Watermark("1 day"), event_key=key)])
+    want = [("None", "2024-01-01 10:00:00"), ("a", "2024-01-01 10:00:00"), ("b", "2024-01-01 10:00:00"),
+            ("b", "2024-01-01 10:00:01"), ("c", "2024-01-01 10:00:00"), ("t", "None")]
+
+    def stored():
+        return sorted((str(r.mid), str(r.create_time)) for r in jobs.lake.stored("ods.log_error").collect())
+
+    assert stored() == want
+    put(src, 3, [error("d")])
+    lost = Jobs(Lake(spark, jobs.lake.root, checkpoints=str(tmp_path / "new")), {"availableNow": True}, max_files=1)
+    await_all([lost.ingest_log("log_error", str(src), Watermark("1 day"), event_key=key)])
+    assert stored() == sorted([*want, ("d", "2024-01-01 10:00:00")])
