@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 import os
+import re
+import sys
 import unicodedata
+from array import array
 from functools import lru_cache
 
-import numpy as np
+# A word that ends in marks, and letters that the vocabulary's bytes do not tell case by case.
+_STEM = re.compile(r"(\w+)([.,!?;:*&%$#]+)")
+_beyond_latin = re.compile("[^\0-\u024f]").search
+
+
+def _little(ids: array) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
 
 
 def _byte_letters() -> dict[int, str]:
@@ -20,12 +32,13 @@ class WordEncoder:
     """Encodes texts with a vocabulary that drops white space, word by word.
 
     Such a vocabulary never joins two words over a blank or a line feed, so a text's ids are its words' ids, one after
-    the other.  Words repeat, hence the cache; it is emptied when it holds `capacity` words, so memory is bounded.
+    the other.  Words repeat, hence the cache; when it holds `capacity` words it becomes the older one of two, from which words
+    that come again are taken over, and the one before is dropped.  So memory is bounded and frequent words stay.
     Plain letters go straight to the vocabulary's model, anything else through the whole tokenizer.
     Special tokens keep the meaning that the tokenizer file gives them.
     """
 
-    def __init__(self, path: str, capacity: int = 600_000):
+    def __init__(self, path: str, capacity: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -33,41 +46,51 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.capacity = capacity
         self.words: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
+        return _little(array("I", ids))
 
     def _letters(self, word: str) -> bytes | None:
         """Ids of a word of Latin letters only."""
-        form = unicodedata.normalize("NFC", word).lower()
-        if not form.isalpha() or max(form) >= "ɐ":
-            return None
-        mapped = form if form.isascii() else form.encode().decode("latin-1").translate(self.letters)
+        if word.isascii():
+            mapped = word.lower()
+        else:
+            form = unicodedata.normalize("NFC", word).lower()
+            if not form.isalpha() or _beyond_latin(form):
+                return None
+            mapped = form.encode().decode("latin-1").translate(self.letters)
         return self._pack([t.id for t in self.model.tokenize(mapped)])
 
     def _learn(self, word: str) -> bytes:
         if len(self.words) >= self.capacity:
+            # The newer one stays the same object, as a text that is being read holds it.
+            self.older = self.words.copy()
             self.words.clear()
             self.words[""] = b""
-        ids = None
-        if word[-1] in ".," and word[:-1].isalpha():
-            stem = self.words.get(word[:-1])
-            stem = self._learn(word[:-1]) if stem is None else stem
-            ids = stem + self._pack(self.tokenizer.encode(word[-1], add_special_tokens=False).ids)
-        elif word.isalpha():
-            ids = self._letters(word)
+        ids = self.older.get(word)
         if ids is None:
-            ids = self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            ids = self._ids(word)
         if len(word) <= 64:
             self.words[word] = ids
         return ids
 
+    def _ids(self, word: str) -> bytes:
+        ids = None
+        if word.isalpha():
+            ids = self._letters(word)
+        elif (m := _STEM.fullmatch(word)) and m[1].isalpha():
+            # Letters and the marks behind them are split by the tokenizer too.
+            stem, marks = self.words.get(m[1]), self.words.get(m[2])
+            ids = (self._learn(m[1]) if stem is None else stem) + (self._learn(m[2]) if marks is None else marks)
+        return self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids) if ids is None else ids
+
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers; a null text is an empty one."""
         if not text:
             return b""
-        if text.isascii() and "<|" not in text:
+        if "<|" not in text and not _beyond_latin(text):
             text = text.lower()
         words, out = self.words, text.replace("\n", " ").split(" ")
         try:
