@@ -52,34 +52,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingler:
-    """Shingle sets of texts, with a bounded cache of word hashes."""
-
-    def __init__(self, capacity: int = 500_000):
-        self.capacity, self.words = capacity, {}
-
-    def _hash(self, word: bytes) -> int:
-        if len(self.words) >= self.capacity:
-            self.words.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self.words[word] = value
-        return value
-
-    def set_of(self, text: str | None) -> np.ndarray:
-        """Sorted hashes of the distinct shingles; of all words together if there are fewer than five."""
-        words = (text or "").encode().lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(words) < WORDS:
-            return np.array([xxhash.xxh3_64_intdigest(b"\0" + b" ".join(words))], np.uint64)
-        known = self.words.get
-        hashes = np.array([known(w) or self._hash(w) for w in words], np.uint64)
-        n = len(words) - WORDS + 1
-        out = hashes[:n].copy()
-        for k in range(1, WORDS):
-            out = _mixed(out * _STEP + hashes[k : k + n])
-        return np.unique(out)
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; of all words together if there are fewer than five."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    if len(words) < WORDS:
+        return np.array([xxhash.xxh3_64_intdigest(b"\0" + b" ".join(words))], np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    n = len(words) - WORDS + 1
+    out = hashes[:n].copy()
+    for k in range(1, WORDS):
+        out = _mixed(out * _STEP + hashes[k : k + n])
+    return np.unique(out)
 
 
 @lru_cache(maxsize=1)
@@ -129,11 +114,10 @@ def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_shingles, set_id (null for an empty set) and sketch of every row."""
 
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         for batch in batches:
             n, ids, sketches = [], [], []
             for text in batch.column(2):
-                hashes = shingler.set_of(text.as_py())
+                hashes = shingle_set(text.as_py())
                 n.append(len(hashes))
                 ids.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None)
                 sketches.append(registers(hashes).tobytes() if len(hashes) else None)
@@ -161,9 +145,8 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and its full set, from the text of the node's first row."""
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         for b in batches:
-            sets = [shingler.set_of(t.as_py()).tobytes() for t in b.column(1)]
+            sets = [shingle_set(t.as_py()).tobytes() for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "hashes"])
 
     docs = near(docs, nodes.select("doc_id", "text_hash"))
@@ -283,9 +266,10 @@ def _linked(crossing: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataF
     parts = components(crossing).withColumnRenamed("comp", "part")
     rows = parts.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     rows = rows.join(nodes.select("node", "n", "small"), "node").join(sets, "node")
-    sizes = rows.groupBy("part").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
+    # Summed without the sets and written, so that their size is known and a large part is not dealt to one task to learn it.
+    sizes = parts.join(nodes.select("node", "n"), "node").groupBy("part").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / BLOCK_SHINGLES))
-    rows = rows.join(sizes.select("part", blocks.alias("blocks")), "part")
+    rows = rows.join(saved(sizes.select("part", blocks.alias("blocks")), "sizes"), "part")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     item = F.collect_list(F.struct("node", "comp", "n", "small", "hashes"))
     held = saved(rows.groupBy("part", "block", "blocks").agg(item.alias("items")), "blocks")

@@ -103,3 +103,27 @@ def test_estimates_correct_for_collisions():
             small = [neardup.small_registers(neardup.registers(s)[None]) for s in (a, b)]
             found.append(neardup.estimates(*small)[0, 0])
         assert abs(np.mean(found) - share) < 0.02
+
+
+def test_forest_has_one_link_for_each_larger_end(spark):
+    from shoplake.llm.components import forest
+
+    rng = random.Random(9)
+    links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(3000)] + [(1000, n) for n in range(1001, 1400)]
+    links += [(n, n + 1) for n in range(2000, 2050)] + [(5000, 5000), (3001, 3000), (3000, 3001)]
+    got = [tuple(r) for r in forest(spark.createDataFrame(links, "a long, b long")).collect()]
+    assert len({b for _, b in got}) == len(got) and all(a < b for a, b in got)
+
+    def classes(pairs):
+        up = {}
+
+        def root(x):
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        for a, b in pairs:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+        return {x: root(x) for p in pairs for x in p if p[0] != p[1]}
+
+    assert classes(got) == {x: r for x, r in classes(links).items() if any(x in p and p[0] != p[1] for p in links)}
