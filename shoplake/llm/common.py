@@ -89,11 +89,15 @@ def without(rows: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
 
 
 def once(rows: DataFrame, *keys: str) -> DataFrame:
-    """One row, the least, of those that share their keys; null is a key.  Only rows in a repeated key's bucket are shuffled."""
+    """One row of those that share their keys, the first by its columns' JSON text; null is a key.
+
+    Columns may be of any type, such as maps, that cannot be ordered.  Only rows in a repeated key's bucket are shuffled.
+    """
     again = saved(rows.groupBy(*keys).count().where("count > 1").select(*keys), "repeated")
     marked = _marked(again)
     bucket = _bucket(*(rows[k] for k in keys))
     single = rows.join(marked, bucket == marked["_marked"], "left_anti")
     others = [c for c in rows.columns if c not in keys]
-    least = near(rows, again).groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+    row = F.struct(*others)
+    least = near(rows, again).groupBy(*keys).agg(F.min_by(row, F.to_json(row)).alias("_row"))
     return single.unionAll(least.select(*(c if c in keys else F.col("_row")[c].alias(c) for c in rows.columns)))

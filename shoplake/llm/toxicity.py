@@ -172,7 +172,7 @@ def lexicon(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     Rows with the same words in the same order, as copies have, count once.  An entry is kept if its log likelihood ratio
     beats the logarithm of the number of entries tried, and it is twenty times as frequent in toxic rows.
     """
-    docs = rows.select("toxic", F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w).between(2, 40)).alias("said"))
+    docs = rows.select("toxic", F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 1).alias("said"))
     docs = docs.select("toxic", F.xxhash64("said").alias("copy"), F.array_distinct("said").alias("words"))
     docs = docs.groupBy("copy", "toxic").agg(F.min("words").alias("words"))
     starts = [F.transform(F.filter("words", lambda w: F.length(w) > n), lambda w: F.concat(F.left(w, F.lit(n)), F.lit("*"))) for n in STARTS]
@@ -204,8 +204,13 @@ def lexicon(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression with a prior: meant and aimed insults and threats count, negated and reported ones hardly."""
+    """Logistic regression with a prior: meant and aimed insults and threats count, negated and reported ones hardly.
+
+    Labels of one class say nothing on what sets the classes apart, so the prior holds.
+    """
     prior = np.array([-3.0, 2.5, 2.5, 0.3, 0.3, 2.5])
+    if len(np.unique(y)) < 2:
+        return tuple(map(float, prior))
     x, w, ridge = np.column_stack([np.ones(len(x)), x.reshape(-1, FEATURES)]), prior.copy(), np.array([0.1, 1, 1, 1, 1, 1.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
@@ -267,7 +272,10 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def kept(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows, with all columns, whose score is below a half."""
+    """The rows, with all columns, whose score is below a half.
+
+    Null and empty texts get the score of a text without a match; rows that repeat are judged alike.  No rows give no rows.
+    """
     words, starts, at = model.words, model.starts, docs.columns.index(text_col)
 
     def drop(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

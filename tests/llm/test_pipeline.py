@@ -73,3 +73,42 @@ def test_stages_one_by_one(spark, sf_dir):
 
     _, pieces = step("packing", docs)
     test_packing.check(pieces, [(i, r.text) for i, r in safe.items()], 4096)
+
+
+FIRST = list(corpus_pipeline.STAGES)[:4]
+
+
+def small_dir(spark, tmp_path, labels=(), items=()):
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(list(items), "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_no_documents(spark, tmp_path):
+    sf_dir = small_dir(spark, tmp_path)
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in FIRST:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and out.collect() == []
+    assert corpus_pipeline.pack(spark, docs, sf_dir).collect() == []
+
+
+def test_clashing_and_unorderable_columns_nulls_and_repeats(spark, tmp_path):
+    """Columns named like those the stages work with stay as they are, and a map does not stop them."""
+    item = " ".join(f"item{i}" for i in range(40))
+    sf_dir = small_dir(spark, tmp_path, items=[("i", item)])
+    given = [(1, None), (1, None), (2, ""), (3, "mail me: joe (at) mail [dot] org, 4111 1111 1111 1111"), (4, item), (None, "a b c"), (None, "a b c"), (5, "word " * 40_000)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").selectExpr(
+        "*", "7L as text_hash", "'x' as _text_hash", "map('k', doc_id) as tags", "1 as node", "2 as score", "3 as spans", "4 as comp"
+    )
+    want = {"toxicity": 8, "near_dedup": 6, "decontamination": 5, "pii": 5}
+    columns = docs.columns
+    for name, stage in FIRST:
+        docs = saved(stage(spark, docs, sf_dir), "stage")
+        rows = docs.collect()
+        assert docs.columns == columns and len(rows) == want[name]
+        assert {(r.text_hash, r._text_hash, r.node, r.comp) for r in rows} == {(7, "x", 1, 4)}
+        assert all(r.tags == {"k": r.doc_id} for r in rows)
+    assert {r.doc_id: r.text for r in rows}[3] == "mail me: joe (at) mail [dot] org, <CARD>" or "<EMAIL>" in {r.doc_id: r.text for r in rows}[3]
+    pieces = corpus_pipeline.pack(spark, docs, sf_dir).collect()
+    assert {r.doc_id for r in pieces} == {1, 2, 3, 5, None}

@@ -76,3 +76,14 @@ def test_documents_that_share_a_passage_all_count(spark):
     rows += [("an honest sentence with copyword", 1)] * 80
     words, _ = t.lexicon(spark.createDataFrame(rows, "text string, toxic int"))
     assert "grumbold" in words and "pleasant" not in words and "copyword" not in words
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_labels_of_one_class_leave_the_prior(spark, label):
+    given = [(i, f"clean words number {i}") for i in range(60)] + [(99, ""), (98, "you stupid idiot")]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    known = spark.createDataFrame([(i, label) for i in range(60)], "doc_id long, toxic int")
+    model = t.trained(docs, known)
+    score = {r.doc_id: r.score for r in t.scored(docs, model).collect()}
+    assert max(s for i, s in score.items() if i != 98) < 0.1 and score[98] > 0.5
+    assert {r.doc_id for r in t.kept(docs, model).collect()} == set(score) - {98}
