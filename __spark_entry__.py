@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from functools import partial
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,11 +29,11 @@ from shoplake.streaming import Jobs
 from shoplake.streaming.jobs import await_all
 from shoplake.streaming.replay import write_changes, write_records
 
-# The corpus operators are a part of their own, which may be absent.
-if find_spec("shoplake.llm") and find_spec("corpus_pipeline"):
+# The corpus operators are a part of their own, which may be absent, as may the libraries it needs.
+try:
     import corpus_pipeline
     from shoplake.llm import queries as corpus
-else:
+except ImportError:
     corpus = corpus_pipeline = None
 
 # The driver's days are fixed, so "today" is too.

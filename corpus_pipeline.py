@@ -15,39 +15,58 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the clause grammar does not hold to be toxic."""
-    return toxicity.kept(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
+    """Documents that the clause grammar does not hold to be toxic.
 
+    A null or empty text is judged as one without a match; rows that repeat are judged alike.
+    """
+    return toxicity.kept(docs, toxicity.trained(docs, table(spark, sf_dir, "labels")))
 
-# What names a row: its id may be repeated with another text.
-ROW = ("doc_id", "text_hash")
 
+def _named(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a hash of their text, and that column's name, which no other column has.
 
-def _named(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("text_hash", F.xxhash64("text"))
+    An id may be repeated with another text, so id and hash name a row.
+    """
+    name = "text_hash"
+    while name in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return docs.withColumn(name, F.xxhash64("text")), name
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id; of exact repeats of a row, one."""
-    gone = neardup.classified(docs).where("not first").select(*ROW)
-    return once(without(_named(docs), gone, *ROW), *ROW).drop("text_hash")
+    """One document of each group of near duplicates, the one with the least id; of exact repeats of a row, one.
+
+    Documents without words, null texts too, are linked with nothing.
+    """
+    gone = neardup.classified(docs).where("not first").select("doc_id", "text_hash")
+    rows, name = _named(docs)
+    return once(without(rows, gone, "doc_id", name), "doc_id", name).drop(name)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark passages."""
-    rows = decontaminate.matched(docs, table(spark, sf_dir, "benchmark"))
-    gone = rows.where(decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))).select(*ROW)
-    return without(_named(docs), gone, *ROW).drop("text_hash")
+    """Documents that are not contaminated by benchmark passages; a null or empty text never is, repeats go together."""
+    found = decontaminate.matched(docs, table(spark, sf_dir, "benchmark"))
+    gone = found.where(decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))).select("doc_id", "text_hash")
+    rows, name = _named(docs)
+    return without(rows, gone, "doc_id", name).drop(name)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data masked and `n_chars` counted again."""
+    """All documents, with personal data masked and `n_chars`, if they have it, counted again.
+
+    A null text stays null, with null characters; repeats are masked alike.
+    """
     rows = pii.redacted(docs, pii.trained(docs))
+    if "n_chars" not in docs.columns:
+        return rows
     return rows.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their ids (little-endian unsigned 32-bit) and their places in sequences of 4096."""
+    """Token pieces with their ids (little-endian unsigned 32-bit) and their places in sequences of 4096.
+
+    A null or empty text is the end id alone; every repeat is packed; no documents give no pieces.
+    """
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), 1, 4096)
 
 
