@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import saved
 
 
-def forest(links: DataFrame) -> DataFrame:
-    """Links (a, b), a the smaller, that reach what the given ones reach, each node being the larger end of one at most.
+def thinned(links: DataFrame) -> DataFrame:
+    """Links (a, b), a the smaller, that reach what the given ones reach, about twice as many as nodes at most.
 
     A node keeps the link to the smallest of its smaller neighbours, and the others are linked to that one instead of to the
-    node.  This is repeated until no node has two, so what is left has fewer links than nodes, however many were given.  Each
-    round is one grouping without a join, in which a node's links are sorted, not held.
+    node.  Each such round is one grouping without a join, in which a node's links are sorted, not held; it is repeated until
+    there are few enough, however many were given.
     """
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
     while True:
-        links = saved(links.distinct(), "forest")
-        if links.groupBy("b").count().where("count > 1").isEmpty():
+        links = saved(links.distinct(), "thinned")
+        n = links.agg(F.count("*").alias("links"), F.approx_count_distinct("b").alias("ends")).first()
+        if n.links <= 2 * n.ends:
             return links
         least = F.min("a").over(Window.partitionBy("b"))
         links = links.withColumn("least", least).select(
@@ -30,11 +31,10 @@ def components(links: DataFrame) -> DataFrame:
     """node and comp, the smallest node that links (a, b) reach, for every node that has a link.
 
     Each round takes the least label of a node's neighbours and then the label of that label, so that chains shorten by half;
-    rounds are written, so a lost executor repeats one round at most.  Links are thinned out to a forest first.
+    rounds are written, so a lost executor repeats one round at most.
     """
-    links = forest(links)
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = saved(both, "links")
+    both = saved(both.where("a <> b").distinct(), "links")
     labels = saved(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))

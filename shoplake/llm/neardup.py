@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import near, saved
-from shoplake.llm.components import components
+from shoplake.llm.components import components, thinned
 
 WORDS = 5
 REGISTERS = 256
@@ -39,6 +39,8 @@ BANDS = REGISTERS // ROWS
 # Nodes of a block, and about how many shingles it may have (8 bytes each).
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 20
+# Nodes that a task joins before it names the edges and begins anew.
+JOINED = 1 << 18
 SIGMAS = 4.5
 NUMERATOR, DENOMINATOR = 75, 100
 
@@ -223,8 +225,8 @@ def _unpacked(items: pa.StructArray) -> tuple[np.ndarray, ...]:
 def _crossing(members: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
     """Nodes of different components that share a bucket and can be 0.75 alike, as a graph (a, b) with the same components.
 
-    A block names an edge from the least node of each of its parts to each other one, however many pairs can be alike, so
-    the edges of many buckets of one group are mostly the same.
+    A task joins what its blocks find and names an edge from the least node of each part to each other one, however many pairs
+    can be alike, so the edges of many buckets of one group are mostly the same.
     """
     own = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     shares = own.groupBy("key", "comp").count()
@@ -239,18 +241,23 @@ def _crossing(members: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFra
     minor = rows.where("comp <> main").groupBy("key", F.col("block").alias("part"), "blocks").agg(F.collect_list(item).alias("minor"))
     minor = minor.select("key", "minor", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
 
+    def edges(joined: _Joined) -> pa.RecordBatch:
+        found = [(joined.root(node), node) for node in list(joined.up)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))], ["a", "b"])
+
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = _Joined()
         for batch in batches:
             for left, right in zip(batch.column(0), batch.column(1)):
                 (a, comp_a, n_a, small_a), (b, comp_b, n_b, small_b) = _unpacked(left.values), _unpacked(right.values)
                 fit, _ = _alike(n_a, n_b, small_a, small_b)
                 i, j = np.nonzero(fit & np.not_equal.outer(comp_a, comp_b))
-                joined, x, y = _Joined(), a[i].tolist(), b[j].tolist()
-                for pair in zip(x, y):
+                for pair in zip(a[i].tolist(), b[j].tolist()):
                     joined.join(*pair)
-                edges = [(top, node) for node in {*x, *y} if (top := joined.root(node)) != node]
-                if edges:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*edges)], ["a", "b"])
+                if len(joined.up) > JOINED:
+                    yield edges(joined)
+                    joined = _Joined()
+        yield edges(joined)
 
     blocks = minor.join(every, ["key", "block"]).select("minor", "every")
     return blocks.mapInArrow(compare, "a long, b long").distinct()
@@ -263,7 +270,7 @@ def _linked(crossing: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataF
     one task, or in large parts to as many as the part has blocks.  The likeliest pairs come first; pairs whose
     components are joined by then need no look at their sets.
     """
-    parts = components(crossing).withColumnRenamed("comp", "part")
+    parts = components(thinned(crossing)).withColumnRenamed("comp", "part")
     rows = parts.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     rows = rows.join(nodes.select("node", "n", "small"), "node").join(sets, "node")
     # Summed without the sets and written, so that their size is known and a large part is not dealt to one task to learn it.
