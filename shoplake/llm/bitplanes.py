@@ -58,31 +58,29 @@ _SEGMENTS = pa.schema(
 
 def pack(ids: np.ndarray, planes: str = "bit") -> list[bytes]:
     """The planes of a block of unsigned 32-bit ids, each compressed."""
-    raw = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
     bits = int(ids.max()).bit_length() if len(ids) else 0
-    raw = raw[:, : (bits + 7) // 8]
     if planes == "bit":
-        rows = np.packbits(np.unpackbits(raw, axis=1, bitorder="little")[:, :bits].T, axis=1)
+        # In the narrowest type that holds the ids, a plane is one shift over little memory.
+        narrow = ids.astype(np.uint8 if bits <= 8 else np.uint16 if bits <= 16 else np.uint32)
+        rows = [np.packbits(((narrow >> k) & 1).astype(np.uint8)) for k in range(bits)]
     else:
-        rows = np.ascontiguousarray(raw.T)
+        raw = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
+        rows = np.ascontiguousarray(raw[:, : (bits + 7) // 8].T)
     squeeze = zstandard.ZstdCompressor(level=3).compress
     return [squeeze(row.tobytes()) for row in rows]
 
 
 def unpack(frames: list[bytes], n_ids: int, planes: str = "bit") -> np.ndarray:
     """What `pack` was given."""
-    raw = np.zeros((n_ids, 4), np.uint8)
     expand = zstandard.ZstdDecompressor().decompress
     rows = [np.frombuffer(expand(frame), np.uint8) for frame in frames]
-    if planes == "bit" and rows:
-        bits = np.zeros((n_ids, 32), np.uint8)
-        for k, row in enumerate(rows):
-            bits[:, k] = np.unpackbits(row, count=n_ids)
-        raw = np.packbits(bits, axis=1, bitorder="little")
-    elif planes != "bit":
-        for k, row in enumerate(rows):
-            raw[:, k] = row
-    return np.ascontiguousarray(raw).view("<u4").reshape(-1)
+    out = np.zeros(n_ids, "<u4")
+    for k, row in enumerate(rows):
+        if planes == "bit":
+            out |= np.unpackbits(row, count=n_ids).astype(np.uint32) << np.uint32(k)
+        else:
+            out |= row.astype(np.uint32) << np.uint32(8 * k)
+    return out
 
 
 class _Part:
