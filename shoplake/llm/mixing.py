@@ -53,7 +53,7 @@ def word_counts(texts: pa.Array) -> np.ndarray:
     # A text's first byte starts a word whatever the text before it ends with.
     firsts = (cuts[:-1] - cuts[0])[cuts[:-1] < cuts[1:]]
     starts[firsts] = word[firsts]
-    return np.diff(np.concatenate([[0], np.cumsum(starts)])[cuts - cuts[0]])
+    return np.diff(np.searchsorted(np.flatnonzero(starts), cuts - cuts[0]))
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -109,7 +109,10 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(word_counts(b.column(3)))], ["doc_id", "source", "text_hash", "size"])
+            # A few texts at a time, as their marks take as much memory as they do.
+            sizes = [word_counts(b.column(3).slice(at, 256)) for at in range(0, b.num_rows, 256)]
+            size = pa.array(np.concatenate([*sizes, np.zeros(0, np.int64)]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], size], ["doc_id", "source", "text_hash", "size"])
 
     return saved(rows.mapInArrow(counted, "doc_id long, source string, text_hash long, size long"), "sized")
 
