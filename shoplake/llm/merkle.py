@@ -226,7 +226,8 @@ def manifest(
         forged.alias("forged"),
     )
     rows = saved(rows, "leaves")
-    sizes = rows.groupBy("tree").agg(F.count("*").alias("n"))
+    # Written, so that its size is known and the leaves need not be dealt by their tree.
+    sizes = saved(rows.groupBy("tree").agg(F.count("*").alias("n")), "sizes")
     placed = ranked(rows).join(sizes, "tree")
     groups = saved(_groups(placed, "leaf", "doc_id", "forged"), "groups")
     heads = saved(_tops(groups), "heads")
