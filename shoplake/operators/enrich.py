@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +27,15 @@ def lookup_join(
     cols: Mapping[str, str],
     cond: Column | None = None,
     broadcast_bytes: int = sizing.BROADCAST_BYTES,
+    identity: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join that takes a dimension's values as they are now.
 
     ``on`` is (fact key, dimension key); the dimension key must be unique.
     ``cols`` maps output names to dimension columns.  ``cond`` is an extra
     condition on fact columns: rows that fail it keep NULLs.  Fact rows are
-    never dropped.
+    never dropped.  ``identity`` names columns that tell rows without a key
+    apart; without it they are guessed.
 
     A dimension whose files are small is broadcast, so the fact is not
     shuffled.  A larger one is shuffled with the fact; rows that cannot match
@@ -52,7 +54,7 @@ def lookup_join(
         joined = fact.join(F.broadcast(dim.selectExpr(*side)), F.col("_key") == F.col("_dim_key"), "left")
     else:
         # A row that cannot match hashes on what tells it from others, so NULL keys no longer share one partition.
-        identity = ", ".join(f"`{c}`" for c in _identity(columns))
+        identity = ", ".join(f"`{c}`" for c in identity or _identity(columns))
         salt = f"if(_key is null, pmod(xxhash64({identity}), {_NULL_SPREAD}L) + 1, 0L) as _salt"
         fact = fact.selectExpr(*[f"`{c}`" for c in columns], salt, f"coalesce(_key, cast(0 as {typ})) as _key")
         # Always 0, but not a literal: a literal would be folded out of the join keys.

@@ -28,6 +28,11 @@ def _shape(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns, *[c for c in META if c in df.columns])
 
 
+def bare(table: str, ods: DataFrame) -> DataFrame:
+    """The rows of a fact with their own columns only: nothing is looked up."""
+    return explode_ids(ods, "item_ids") if table == "log_display" else ods
+
+
 def cart_info(ods: DataFrame, dim_sku: DataFrame, dim_user: DataFrame) -> DataFrame:
     out = lookup_join(ods, dim_sku, ("sku_id", "id"), _SKU)
     out = lookup_join(out, dim_user, ("user_id", "id"), _USER)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions import day_of
+from shoplake.operators import lookup_join
 from shoplake.operators.measures import Stats
 
 _AMOUNT = "decimal(18,4)"
@@ -120,6 +124,49 @@ STATS = {
 }
 
 
+@dataclass(frozen=True)
+class Late:
+    """Attributes of an aggregate that one of its keys finds in a dimension.
+
+    All rows of a group have that key, so raw rows can be summed first and the groups look the attributes up, once each;
+    ``given`` names attributes that only some facts carry, with the condition on a group that such a fact is in it.
+    """
+
+    key: str
+    dim: str
+    cols: Mapping[str, str]
+    given: Mapping[str, str] = field(default_factory=dict)
+
+
+_USER_COLS = {"user_nick_name": "nick_name", "user_level": "user_level", "age_range": "age_range", "gender": "gender"}
+_COUPON_COLS = ("coupon_name", "full_amount", "reduce_amount", "use_condition")
+
+LATE = {
+    # Of the four facts only orders carry the gender.
+    "trade_user_stats": Late("user_id", "dim.user_info", _USER_COLS, {"gender": "order_count > 0"}),
+    # The name of a sku is the fact's own.
+    "trade_sku_stats": Late("sku_id", "dim.sku_info", {c: c for c in _SKU_ATTRS if c != "sku_name"}),
+    "log_sku_exposure_stats": Late("sku_id", "dim.sku_info", {c: c for c in _SKU_NAMES}),
+    "log_user_action_stats": Late("user_id", "dim.user_info", _USER_COLS),
+    "trade_region_stats": Late("province_id", "dim.base_region", {c: c for c in ("region_name", "big_region")}),
+    # The type of a coupon is the fact's own.
+    "trade_coupon_stats": Late("coupon_id", "dim.coupon_info", {c: c for c in _COUPON_COLS}),
+}
+
+
+def measures_of_raw(build: Callable[..., DataFrame], late: Late, raw: Sequence[DataFrame]) -> DataFrame:
+    """The aggregate of raw facts, its late attributes NULL."""
+    blank = {c: F.lit(None).cast("string") for c in late.cols}
+    return build(*[f.withColumns(blank) for f in raw])
+
+
+def with_late(measures: DataFrame, late: Late, dim: DataFrame) -> DataFrame:
+    """The aggregate with its late attributes looked up; only one group a day can have a NULL key."""
+    out = lookup_join(measures.drop(*late.cols), dim, (late.key, "id"), late.cols, identity=["dt"])
+    out = out.withColumns({c: F.when(F.expr(cond), F.col(c)) for c, cond in late.given.items()}) if late.given else out
+    return out.select(*measures.columns)
+
+
 def trade_user_stats(
     order_info: DataFrame, payment_info: DataFrame, refund_info: DataFrame, coupon_use: DataFrame
 ) -> DataFrame:

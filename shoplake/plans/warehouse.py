@@ -6,6 +6,8 @@ from collections.abc import Callable
 from datetime import date
 from functools import partial
 
+from pyspark.errors import AnalysisException
+from pyspark.logger import PySparkLogger
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from shoplake.plans import ads, dim, dwd, dws, ods, reports
 Builder = tuple[Callable[..., DataFrame], tuple[str, ...]]
 
 _USER, _SKU = "dim.user_info", "dim.sku_info"
+_NO_COLUMN = ("UNRESOLVED_COLUMN.WITH_SUGGESTION", "UNRESOLVED_COLUMN.WITHOUT_SUGGESTION")
 
 
 def _rules() -> dict[str, Builder]:
@@ -114,17 +117,6 @@ def _rules() -> dict[str, Builder]:
 
 RULES = _rules()
 
-# Results that use no looked-up column of their facts: the raw rows do, so no dimension is joined for nothing.
-BARE = (
-    "dws.log_page_stats",
-    "dws.daily_active_users",
-    "dws.daily_order_users",
-    "dws.page_transition_stats",
-    "dws.gmv_hourly_trend",
-    "dws.log_error_stats",
-    "ads.log_funnel_analysis",
-)
-
 # Aggregates that are recomputed as a whole on a schedule; the others follow the change streams.
 REFRESHED = (
     "trade_region_stats",
@@ -165,17 +157,64 @@ class Warehouse:
 
     def _build(self, name: str) -> DataFrame:
         if name == "ads.rfm_user_segmentation":
-            return ads.rfm_user_segmentation(self["dws.trade_user_stats"], self._as_of)
+            return self._leanest(partial(ads.rfm_user_segmentation, as_of=self._as_of), ("dws.trade_user_stats",))
         if name == "ads.gmv_today_summary":
             return ads.gmv_today_summary(self["ads.gmv_realtime_dashboard"], self._today)
         if name not in RULES:
             raise KeyError(name)
         build, inputs = RULES[name]
-        return build(*[self[self._bare(i) if name in BARE else i] for i in inputs])
+        table = name.removeprefix("dws.")
+        if table not in dws.LATE or table == name:
+            return self._leanest(build, inputs)
+        if self._computed(inputs):
+            return dws.with_late(self._measures(table), dws.LATE[table], self[dws.LATE[table].dim])
+        return build(*[self[i] for i in inputs])
+
+    def _computed(self, facts: tuple[str, ...]) -> bool:
+        """None of the facts is stored: stored ones keep the dimension values of their time, computed ones need not."""
+        return all(self._stored(f) is None for f in facts)
+
+    def _measures(self, table: str) -> DataFrame:
+        """An aggregate of raw facts, its late attributes NULL."""
+        name = f"lean.{table}"
+        if name not in self._known:
+            build, facts = RULES[f"dws.{table}"]
+            raw = [self._lean(f) for f in facts]
+            self._known[name] = dws.measures_of_raw(build, dws.LATE[table], raw)
+        return self._known[name]
 
-    def _bare(self, fact: str) -> str:
-        """The raw table of a fact that would have to be computed."""
-        return fact if self._stored(fact) is not None else fact.replace("dwd.", "ods.", 1)
+    def _lean(self, name: str) -> DataFrame | None:
+        """A table that has to be computed, without the columns it looks up; None if it has no such form."""
+        layer, _, table = name.partition(".")
+        if self._stored(name) is not None:
+            return None
+        if layer == "dwd":
+            return dwd.bare(table, self[f"ods.{table}"])
+        if layer == "dws" and table in dws.LATE and self._computed(RULES[name][1]):
+            return self._measures(table).drop(*dws.LATE[table].cols)
+        return None
+
+    def _leanest(self, build: Callable[..., DataFrame], inputs: tuple[str, ...]) -> DataFrame:
+        """The result from inputs without looked-up columns where it reads none of these, so that nothing is joined for nothing.
+
+        It reads none if it can be built without them and has the same columns.
+        """
+        full = build(*[self[i] for i in inputs])
+        lean = {i: self._lean(i) for i in inputs}
+        if all(df is None for df in lean.values()):
+            return full
+        # A column that is not there is an answer here, not an error to be logged.
+        log = PySparkLogger.getLogger("DataFrameQueryContextLogger")
+        was, log.disabled = log.disabled, True
+        try:
+            bare = build(*[self[i] if lean[i] is None else lean[i] for i in inputs])
+            return bare if bare.dtypes == full.dtypes else full
+        except AnalysisException as missing:
+            if missing.getCondition() not in _NO_COLUMN:
+                raise
+            return full
+        finally:
+            log.disabled = was
 
     def register_views(self, *names: str) -> None:
         """Temporary views named ``layer_table`` for SQL users."""

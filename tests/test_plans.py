@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from check import rows_of
 from shoplake.operators import lookup_join, ranking, sizing
+from shoplake.plans import Warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -112,3 +113,44 @@ def test_no_python_in_any_plan(spark):
 def test_no_lookup_of_columns_that_nothing_uses(spark, key):
     plan = entry.queries()[key](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" not in plan
+
+
+@pytest.mark.parametrize("key", ["ads_daily_trade_overview", "ads_gmv_realtime_dashboard", "ads_gmv_today_summary"])
+def test_unused_attributes_are_not_looked_up(spark, key):
+    plan = plan_of(entry.queries()[key](spark, SF))
+    # Users are read for the orders' own columns alone.
+    scans = [line.split("ReadSchema:")[1] for line in plan.splitlines() if "customer.parquet" in line and "ReadSchema:" in line]
+    assert scans and not any("c_name" in scan for scan in scans)
+    assert "_dim_" not in plan
+
+
+def test_attributes_are_looked_up_for_groups(spark):
+    for key, column in (("dws_trade_sku_stats", "brand_name"), ("dws_trade_user_stats", "user_nick_name")):
+        plan = entry.queries()[key](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.splitlines()
+        lookup = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line)
+        assert lookup < next(i for i, line in enumerate(lines) if "Aggregate" in line)
+        assert column in lines[0]
+
+
+def test_stored_facts_keep_their_own_attributes(spark):
+    """One stored fact is enough: what it says about a user is not looked up anew."""
+    whole = entry.warehouse(spark, SF)
+    then = whole["dwd.order_info"].withColumn("user_nick_name", F.concat(F.lit("~"), "user_nick_name"))
+
+    def stored(name):
+        return then if name == "dwd.order_info" else whole[name] if name.startswith("raw.") else None
+
+    mixed = Warehouse(stored, as_of=entry.AS_OF, today=entry.TODAY)
+    names = mixed["dws.trade_user_stats"].where("order_count > 0").select("user_nick_name").distinct().collect()
+    assert names and all(r.user_nick_name.startswith("~") for r in names)
+    regions = mixed["dws.trade_region_stats"]
+    assert regions.columns == whole["dws.trade_region_stats"].columns
+
+
+def test_views_that_use_an_attribute_keep_it(spark):
+    whole = entry.warehouse(spark, SF)
+    rows = whole["ads.user_trade_ranking"].where("user_nick_name is not null").limit(1).collect()
+    assert rows and whole["rpt.big_region_amount"].where("big_region is not null").limit(1).collect()
+    exposed = whole["ads.log_sku_exposure_ranking"]
+    assert {"sku_name", "brand_name"} <= set(exposed.columns)
