@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from oracle.text import half_up, pct, units
+from shoplake import schemas
 from shoplake.sources.adapter import STATEMENTS
 
 TABLES: dict[str, str] = {}
 
+_TYPES = {"string": "varchar", "timestamp_ntz": "timestamp"}
+
 for _name, _sql in STATEMENTS.items():
     _sql = _sql.replace("{JSON_K}", "json_extract_string(props, '$.k')").replace("{TS}", "timestamp")
-    TABLES[_name] = _sql.replace("{", "").replace("}", "")
+    _sql = _sql.replace("{", "").replace("}", "")
+    if _name in schemas.TABLES:
+        # Declared columns that the adapter does not fill are NULL.
+        _nulls = ", ".join(f"cast(null as {_TYPES.get(t, t)}) as {c}" for c, t in schemas.fields(_name).items())
+        _sql = f"select * from ({_sql}) union all by name select {_nulls} where false"
+    TABLES[_name] = _sql
 
 _DAY = "strftime({}, '%Y-%m-%d') as dt"
 for _t in (
@@ -23,16 +31,17 @@ TABLES["dim_base_category"] = """
 select leaf.id, leaf.category_name, leaf.level, leaf.parent_id,
        leaf.id as category3_id, leaf.category_name as category3_name,
        mid.id as category2_id, mid.category_name as category2_name,
-       top.id as category1_id, top.category_name as category1_name
+       top.id as category1_id, top.category_name as category1_name, leaf.create_time, leaf.update_time
 from base_category leaf
 left join base_category mid on mid.id = leaf.parent_id
 left join base_category top on top.id = mid.parent_id"""
 _CAT = "c.category3_name, c.category2_id, c.category2_name, c.category1_id, c.category1_name"
 TABLES["dim_spu_info"] = f"""
-select p.id, p.spu_name, p.category3_id, {_CAT}, p.brand_id, b.brand_name
+select p.id, p.spu_name, p.description, p.category3_id, {_CAT}, p.brand_id, b.brand_name, p.create_time, p.update_time
 from spu_info p left join base_brand b on b.id = p.brand_id left join dim_base_category c on c.id = p.category3_id"""
 TABLES["dim_sku_info"] = f"""
-select k.id, k.sku_name, k.spu_id, p.spu_name, k.category3_id, {_CAT}, k.brand_id, b.brand_name, k.price
+select k.id, k.sku_name, k.spu_id, p.spu_name, k.category3_id, {_CAT}, k.brand_id, b.brand_name, k.price,
+       k.weight, k.img_url, k.is_sale, k.sku_attr, k.create_time, k.update_time
 from sku_info k left join spu_info p on p.id = k.spu_id left join base_brand b on b.id = k.brand_id
 left join dim_base_category c on c.id = k.category3_id"""
 
@@ -48,7 +57,8 @@ _USER = "left join user_info u on u.id = f.user_id"
 _SKU = "left join dim_sku_info s on s.id = f.sku_id"
 TABLES["dwd_cart_info"] = f"select f.*, {_U}, {_S} from ods_cart_info f {_SKU} {_USER}"
 TABLES["dwd_coupon_use"] = (
-    f"select f.*, {_U}, c.coupon_name, c.full_amount, c.reduce_amount from ods_coupon_use f {_USER} "
+    f"select f.*, {_U}, c.coupon_name, c.full_amount, c.reduce_amount, c.use_condition "
+    f"from ods_coupon_use f {_USER} "
     "left join coupon_info c on c.id = f.coupon_id"
 )
 TABLES["dwd_order_detail"] = (
@@ -148,8 +158,8 @@ select province_id, {_D}, max(region_name) as region_name, max(big_region) as bi
 from dwd_order_info f group by province_id, 2"""
 TABLES["dws_trade_coupon_stats"] = f"""
 select coupon_id, {_D}, max(coupon_name) as coupon_name, max(coupon_type) as coupon_type,
-       max(full_amount) as full_amount, max(reduce_amount) as reduce_amount, count(*) as coupon_count,
-       sum(coupon_reduce_amount) as coupon_reduce_amount
+       max(full_amount) as full_amount, max(reduce_amount) as reduce_amount,
+       max(use_condition) as use_condition, count(*) as coupon_count, sum(coupon_reduce_amount) as coupon_reduce_amount
 from dwd_coupon_use f group by coupon_id, 2"""
 TABLES["dws_daily_active_users"] = f"""
 select {_D}, user_id, min(create_time) as first_action_time, count(*) as page_view_count

@@ -7,6 +7,7 @@ from functools import cache
 
 from oracle.layers import TABLES
 from oracle.text import out
+from shoplake import schemas
 from shoplake.sources.adapter import DRIVER_TABLES
 
 _WORD = re.compile(r"\b[a-z_0-9]+\b")
@@ -17,26 +18,13 @@ _CAT = "category3_id:i category3_name category2_id:i category2_name category1_id
 _S = f"spu_id:i spu_name {_CAT} brand_id:i brand_name"
 _SN = "sku_name spu_name category3_name category2_name category1_name brand_name"
 
-_ORDER = (
-    "id:i total_amount:m order_status:i user_id:i create_time:t province_id:i coupon_reduce_amount:m "
-    "original_total_amount:m dt"
-)
-_DETAIL = (
-    "id:i order_id:i order_line_no:i sku_id:i sku_name order_price:m sku_num:i create_time:t "
-    "split_activity_amount:m coupon_id:i split_coupon_amount:m split_total_amount:m dt"
-)
-_CART = "id:i user_id:i sku_id:i sku_name cart_price:m sku_num:i create_time:t dt"
-_PAY = "id:i order_id:i user_id:i payment_type:i total_amount:m payment_status:i create_time:t dt"
-_REFUND = (
-    "id:i user_id:i order_id:i order_detail_id:i refund_amount:m refund_num:i refund_status:i create_time:t dt"
-)
-_USE = "id:i coupon_id:i coupon_type:i user_id:i order_id:i coupon_status:i coupon_reduce_amount:m get_time:t dt"
-_STATUS = "id:i order_id:i order_status:i create_time:t dt"
-_START = "mid user_id:i os loading_time:i create_time:t dt"
-_VIEW = "mid user_id:i page_id page_name last_page_id jump_count:i during_time:i create_time:t dt"
-_ACTION = "mid user_id:i item_type item_id create_time:t dt"
-_DISPLAY = "mid user_id:i page_id item_ids item_pos create_time:t dt"
-_ERROR = "mid user_id:i err_code err_name create_time:t dt"
+
+def _declared(table: str) -> str:
+    """All declared columns of a source table, and the day of those that have one."""
+    kinds = {"timestamp_ntz": ":t", "date": ":d", "string": "", "boolean": ""}
+    cols = [c + kinds.get(t, ":m" if t.startswith("decimal") else ":i") for c, t in schemas.fields(table).items()]
+    return " ".join(cols if table in schemas.BASE_TABLES else [*cols, "dt"])
+
 
 _USER_STATS = (
     "order_count:i order_total_amount:m order_original_amount:m order_coupon_reduce:m payment_count:i "
@@ -56,7 +44,7 @@ _REGION = (
     "order_coupon_reduce:m"
 )
 _COUPON = (
-    "dt:d coupon_id:i coupon_name coupon_type:i full_amount:m reduce_amount:m coupon_count:i coupon_reduce_amount:m"
+    "dt:d coupon_id:i coupon_name coupon_type:i full_amount:m reduce_amount:m use_condition coupon_count:i coupon_reduce_amount:m"
 )
 _ERR = "dt:d err_code err_name error_count:i error_user_count:i error_device_count:i"
 _HOURLY = "dt:d hour:i order_count:i order_users:i gmv:m original_amount:m coupon_reduce:m"
@@ -66,46 +54,6 @@ _RFM = "user_id:i user_nick_name user_level:i recency:i frequency:i monetary:m"
 
 # key -> (table, output columns)
 SPECS: dict[str, tuple[str, str]] = {
-    "ods_base_brand": ("base_brand", "id:i brand_name"),
-    "ods_base_category": ("base_category", "id:i category_name level:i parent_id:i"),
-    "ods_base_dic": ("base_dic", "id:i dic_type code name sort:i"),
-    "ods_base_region": ("base_region", "id:i region_name level:i big_region"),
-    "ods_coupon_info": ("coupon_info", "id:i coupon_type:i full_amount:m reduce_amount:m coupon_name"),
-    "ods_sku_info": ("sku_info", "id:i sku_name spu_id:i category3_id:i brand_id:i price:m"),
-    "ods_spu_info": ("spu_info", "id:i spu_name category3_id:i brand_id:i"),
-    "ods_user_info": ("user_info", "id:i login_name nick_name user_level:i gender:i age_range"),
-    "ods_cart_info": ("ods_cart_info", _CART),
-    "ods_coupon_use": ("ods_coupon_use", _USE),
-    "ods_order_detail": ("ods_order_detail", _DETAIL),
-    "ods_order_info": ("ods_order_info", _ORDER),
-    "ods_order_status_log": ("ods_order_status_log", _STATUS),
-    "ods_payment_info": ("ods_payment_info", _PAY),
-    "ods_refund_info": ("ods_refund_info", _REFUND),
-    "ods_log_startup": ("ods_log_startup", _START),
-    "ods_log_page_view": ("ods_log_page_view", _VIEW),
-    "ods_log_action": ("ods_log_action", _ACTION),
-    "ods_log_display": ("ods_log_display", _DISPLAY),
-    "ods_log_error": ("ods_log_error", _ERROR),
-    "dim_base_brand": ("base_brand", "id:i brand_name"),
-    "dim_base_category": ("dim_base_category", f"id:i category_name level:i parent_id:i {_CAT}"),
-    "dim_base_dic": ("base_dic", "id:i dic_type code name sort:i"),
-    "dim_base_region": ("base_region", "id:i region_name level:i big_region"),
-    "dim_coupon_info": ("coupon_info", "id:i coupon_type:i full_amount:m reduce_amount:m coupon_name"),
-    "dim_spu_info": ("dim_spu_info", f"id:i spu_name {_CAT} brand_id:i brand_name"),
-    "dim_sku_info": ("dim_sku_info", f"id:i sku_name {_S} price:m"),
-    "dim_user_info": ("user_info", "id:i login_name nick_name user_level:i gender:i age_range"),
-    "dwd_cart_info": ("dwd_cart_info", f"{_CART} {_U} {_S}"),
-    "dwd_coupon_use": ("dwd_coupon_use", f"{_USE} {_U} coupon_name full_amount:m reduce_amount:m"),
-    "dwd_order_detail": ("dwd_order_detail", f"{_DETAIL} {_S} coupon_name coupon_type:i"),
-    "dwd_order_info": ("dwd_order_info", f"{_ORDER} {_UG} region_name big_region"),
-    "dwd_order_status_log": ("dwd_order_status_log", _STATUS),
-    "dwd_payment_info": ("dwd_payment_info", f"{_PAY} {_U}"),
-    "dwd_refund_info": ("dwd_refund_info", f"{_REFUND} {_U}"),
-    "dwd_log_startup": ("dwd_log_startup", f"{_START} {_UG}"),
-    "dwd_log_page_view": ("dwd_log_page_view", f"{_VIEW} {_UG}"),
-    "dwd_log_action": ("dwd_log_action", f"{_ACTION} {_UG} {_SN}"),
-    "dwd_log_display": ("dwd_log_display", f"{_DISPLAY} sku_id:i {_UG} {_SN}"),
-    "dwd_log_error": ("dwd_log_error", f"{_ERROR} {_UG}"),
     "dws_trade_user_stats": ("dws_trade_user_stats", f"user_id:i dt:d {_UG} {_USER_STATS}"),
     "dws_trade_sku_stats": ("dws_trade_sku_stats", f"sku_id:i dt:d sku_name {_S} {_SKU_STATS}"),
     "dws_log_page_stats": (
@@ -229,6 +177,34 @@ SPECS: dict[str, tuple[str, str]] = {
     ),
 }
 
+# Raw tables, dimensions and facts: every declared column, and those looked up.
+for _table in schemas.TABLES:
+    _raw = _table if _table in schemas.BASE_TABLES else f"ods_{_table}"
+    SPECS[f"ods_{_table}"] = (_raw, _declared(_table))
+for _table in ("base_brand", "base_dic", "base_region", "coupon_info", "user_info"):
+    SPECS[f"dim_{_table}"] = (_table, _declared(_table))
+for _table, _looked_up in {
+    "base_category": _CAT,
+    "spu_info": f"{_CAT.partition(' ')[2]} brand_name",
+    "sku_info": f"spu_name {_CAT.partition(' ')[2]} brand_name",
+}.items():
+    SPECS[f"dim_{_table}"] = (f"dim_{_table}", f"{_declared(_table)} {_looked_up}")
+for _table, _looked_up in {
+    "cart_info": f"{_U} {_S}",
+    "coupon_use": f"{_U} coupon_name full_amount:m reduce_amount:m use_condition",
+    "order_detail": f"{_S} coupon_name coupon_type:i",
+    "order_info": f"{_UG} region_name big_region",
+    "order_status_log": "",
+    "payment_info": _U,
+    "refund_info": _U,
+    "log_startup": _UG,
+    "log_page_view": _UG,
+    "log_action": f"{_UG} {_SN}",
+    "log_display": f"sku_id:i {_UG} {_SN}",
+    "log_error": _UG,
+}.items():
+    SPECS[f"dwd_{_table}"] = (f"dwd_{_table}", f"{_declared(_table)} {_looked_up}")
+
 # A stream must end where the batch plan does.
 for _stream, _batch in {
     "stream_log_ingest": "ods_log_page_view",
@@ -389,8 +365,10 @@ REPORTS: dict[str, str] = {
     "(select create_time, dayofmonth(create_time) <= 15 and create_time < (select max(n.create_time) from log_page_view n "
     "where dayofmonth(n.create_time) > 15) - interval '1' day as late from log_page_view) v, "
     "(values ('keep'), ('drop')) s(setting) group by 1, 2",
-    "stream_log_replayed": "select distinct mid, cast(user_id as bigint) as user_id, err_code, err_name, "
-    "strftime(create_time, '%Y-%m-%d %H:%M:%S') as create_time, strftime(create_time, '%Y-%m-%d') as dt from log_error",
+    "stream_log_replayed": out("(select distinct * from ods_log_error)", _declared("log_error")),
+    "rank_in_ranges": "select o_orderstatus, o_orderkey, o_totalprice, o_custkey, row_number() over (partition by "
+    "o_orderstatus order by o_totalprice desc nulls last, o_orderkey) as rn_price, row_number() over (partition by "
+    "o_orderstatus order by o_custkey desc nulls last, o_orderkey) as rn_cust from orders",
     "dws_retention_window": out(
         "dws_trade_user_stats",
         f"user_id:i dt:d {_USER_STATS}",
