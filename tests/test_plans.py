@@ -154,3 +154,17 @@ def test_views_that_use_an_attribute_keep_it(spark):
     assert rows and whole["rpt.big_region_amount"].where("big_region is not null").limit(1).collect()
     exposed = whole["ads.log_sku_exposure_ranking"]
     assert {"sku_name", "brand_name"} <= set(exposed.columns)
+
+
+def test_large_ranking_computes_its_input_once(spark):
+    """Two ranks of an aggregate: counts and numbers come from the same shuffle, so the files are read once."""
+    df = spark.read.parquet(f"{SF}/orders.parquet").groupBy("o_orderdate", "o_custkey").agg(
+        F.count("*").alias("n"), F.sum("o_totalprice").alias("total")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = ranking.rank_by(df, ["o_orderdate"], {"rn": "total", "rc": "n"}, ["o_custkey"], single_group_bytes=0)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 1
