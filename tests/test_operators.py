@@ -27,6 +27,7 @@ from shoplake.operators import (
 )
 from shoplake.operators.models import SEGMENTS
 from shoplake.sources import cdc_records, jdbc_options, parse_log, snapshot_scan
+from shoplake.streaming import replay
 
 
 def tuples(df, *cols):
@@ -309,3 +310,14 @@ def test_days(spark):
     assert retain_window(rows, date(2024, 1, 20), before=5, after=3).count() == 9
     latest = latest_nonempty_day(rows, F.col("n") > 0)
     assert [str(r.dt) for r in rows.where(F.col("dt") == latest).collect()] == ["2024-01-29"]
+
+
+# --- sizes -----------------------------------------------------------------------
+
+
+def test_replayed_records_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay, "_LINES", 300)
+    replay.write_records(spark.range(1000).coalesce(1), str(tmp_path / "in"))
+    names = [p.name for p in (tmp_path / "in").iterdir() if p.name.startswith("part-")]
+    assert len(names) == 4 and all(n.endswith(".gz") for n in names)
+    assert spark.read.json(str(tmp_path / "in")).agg(F.count_distinct("id")).first()[0] == 1000
