@@ -37,7 +37,7 @@ def lookup_join(
     never dropped.  ``identity`` names columns that tell rows without a key
     apart; without it they are guessed.
 
-    A dimension whose files are small is broadcast, so the fact is not
+    A dimension that is small, by its files and by its rows if they are counted, is broadcast, so the fact is not
     shuffled.  A larger one is shuffled with the fact; rows that cannot match
     (NULL key, failed ``cond``) are spread evenly instead of meeting in one
     partition, and adaptive execution splits partitions of hot keys.
@@ -50,7 +50,7 @@ def lookup_join(
     columns = fact.columns
     fact = fact.withColumn("_key", key)
     side = [f"`{dim_key}` as _dim_key", *[f"`{c}` as `_dim_{out}`" for out, c in cols.items()]]
-    if sizing.fits(dim, broadcast_bytes):
+    if sizing.fits_in_memory(dim, [dim_key, *cols.values()], broadcast_bytes):
         joined = fact.join(F.broadcast(dim.selectExpr(*side)), F.col("_key") == F.col("_dim_key"), "left")
     else:
         # A row that cannot match hashes on what tells it from others, so NULL keys no longer share one partition.

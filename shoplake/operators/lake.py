@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplake import schemas
-from shoplake.operators import files
+from shoplake.operators import files, sizing
 from shoplake.operators.changelog import live_rows
 from shoplake.operators.sinks import BUCKETS, current_version
 
@@ -43,6 +43,7 @@ class Lake:
         self, spark: SparkSession, root: str, buckets: int = BUCKETS, checkpoints: str | None = None
     ) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self._counted: dict[str, tuple[str, int]] = {}
         self.checkpoints = checkpoints or f"{self.root}/checkpoints"
         made = [n for n in files.subdirectories(spark, f"{self.root}/_buckets") if n.startswith("n=")]
         if not made:
@@ -65,7 +66,7 @@ class Lake:
         path = self.path(name)
         version = current_version(self.spark, path)
         if version:
-            return self.spark.read.orc(version)
+            return self._sized(name, version)
         tables = [d for d in files.subdirectories(self.spark, path) if not d.startswith("_")]
         if not tables:
             return None
@@ -79,6 +80,14 @@ class Lake:
         df = live_rows(df) if "_op" in df.columns else df
         return df.drop("bucket", "batch")
 
+    def _sized(self, name: str, version: str) -> DataFrame:
+        """A version of a snapshot and how many rows it has, counted once."""
+        df = self.spark.read.orc(version)
+        known = self._counted.get(name)
+        if known is None or known[0] != version:
+            known = self._counted[name] = version, df.count()
+        return sizing.note_rows(df, known[1])
+
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
     """No rows of a source table, typed."""

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame
 
 # A plan's files do not change, and a dimension is looked up many times.
 _known: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+_rows: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 MB = 1 << 20
 
+# Bytes that a row held in memory takes beside its columns, and that a text and any other column take.
+_ROW, _TEXT, _NUMBER = 32, 40, 16
+
 # A dimension is broadcast only while all files behind it are smaller than this.
 BROADCAST_BYTES = 32 * MB
 # A window over a whole day stays a plain window only while all files behind it are smaller than this.
@@ -36,3 +41,21 @@ def input_bytes(df: DataFrame) -> int | None:
 def fits(df: DataFrame, limit: int) -> bool:
     size = input_bytes(df)
     return size is not None and size <= limit
+
+
+def note_rows(df: DataFrame, rows: int) -> DataFrame:
+    """The same DataFrame, known to have so many rows."""
+    _rows[df] = rows
+    return df
+
+
+def fits_in_memory(df: DataFrame, columns: Sequence[str], limit: int) -> bool:
+    """Whether the columns of a dimension may be held whole by the driver and every task.
+
+    Compressed files say little about that, so where the number of rows is known it decides too.
+    """
+    if df not in _rows:
+        return fits(df, limit)
+    types = dict(df.dtypes)
+    width = _ROW + sum(_TEXT if types[c] == "string" else _NUMBER for c in columns)
+    return fits(df, limit) and _rows[df] * width <= limit

@@ -27,6 +27,9 @@ from shoplake.operators import (
 )
 from shoplake.operators.models import SEGMENTS
 from shoplake.sources import cdc_records, jdbc_options, parse_log, snapshot_scan
+from shoplake.operators import sizing
+from shoplake.operators.lake import Lake
+from shoplake.operators.sinks import overwrite_snapshot
 from shoplake.streaming import replay
 
 
@@ -321,3 +324,16 @@ def test_replayed_records_are_compressed(spark, tmp_path, monkeypatch):
     names = [p.name for p in (tmp_path / "in").iterdir() if p.name.startswith("part-")]
     assert len(names) == 4 and all(n.endswith(".gz") for n in names)
     assert spark.read.json(str(tmp_path / "in")).agg(F.count_distinct("id")).first()[0] == 1000
+
+
+def test_small_files_of_many_rows_are_not_broadcast(spark, tmp_path):
+    """A stored dimension's rows decide, as its files may be compressed to almost nothing."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    fact = spark.range(10).withColumnRenamed("id", "k")
+    for rows, broadcast in ((1_000, True), (500_000, False)):
+        overwrite_snapshot(spark.range(rows).withColumn("v", F.lit("x")), lake.path("dim.user_info"))
+        dim = lake.stored("dim.user_info")
+        assert sizing.fits(dim, sizing.BROADCAST_BYTES)
+        joined = lookup_join(fact, dim, ("k", "id"), {"v": "v"})
+        assert ("strategy=broadcast" in joined._jdf.queryExecution().optimizedPlan().toString()) == broadcast
+        assert joined.where("v = 'x'").count() == 10
