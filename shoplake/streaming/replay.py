@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +19,18 @@ def write_records(rows: DataFrame, path: str) -> None:
 
 
 def write_changes(
-    rows: DataFrame, path: str, op: str, seq: Column, before: DataFrame | None = None, file: str | None = None
+    rows: DataFrame,
+    path: str,
+    op: str,
+    seq: Column,
+    before: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+    file: str | None = None,
 ) -> None:
     """Add rows as change records.
 
     Creations carry the row as their new state and deletes as their old one.
-    An update also needs ``before``, the old states with the same ``id``.  With ``file`` the records say where they stand in
+    An update also needs ``before``, the old states with the same ``id``, or a function that makes them of the rows by changing
+    columns, so that nothing is joined.  With ``file`` the records say where they stand in
     that log file, as capture tools do, instead of giving a plain number.
     """
     image = F.struct(*rows.columns)
@@ -33,8 +41,12 @@ def write_changes(
     if op == "u":
         if before is None:
             raise ValueError("an update needs the rows before it")
-        old = before.select(F.col("id").alias("_id"), F.struct(*before.columns).alias("before"))
-        states = rows.select("id", image.alias("after"), seq).join(old, F.col("id") == F.col("_id"))
+        if callable(before):
+            states = before(rows.where("id is not null").select("*", image.alias("after"), seq))
+            states = states.withColumn("before", F.struct(*[c for c in states.columns if c not in ("after", place)]))
+        else:
+            old = before.select(F.col("id").alias("_id"), F.struct(*before.columns).alias("before"))
+            states = rows.select("id", image.alias("after"), seq).join(old, F.col("id") == F.col("_id"))
         records = states.select(F.lit(op).alias("op"), F.lit(0).alias("ts_ms"), place, "before", "after")
     else:
         name = "before" if op == "d" else "after"
