@@ -5,9 +5,11 @@ spans that the patterns miss: e-mail addresses and IPv4 addresses written agains
 numbers without a plus sign, in any 2 to 6 groups of 7 to 15 digits in all.  Trees that see format and context give each proposal a score, and a threshold for each
 kind, set on rows that the trees have not seen, selects.
 
-The training rows come from all documents: of the distinct base spans of each kind, and of the distinct spans that fail
-their kind's check, about `SPANS_OF_A_KIND`, chosen by a hash of the span, copies once, and at most `SPANS_OF_A_TEXT` of one text.  Base spans and the same data rewritten in the
-other forms are true; failing spans, rewritten spans with digits changed until they fail, and other readings that overlap
+The training rows come from all documents: from every distinct base span, and every distinct span that fails its kind's
+check, copies once.  Nothing is sampled; the spans of a kind and truth that has more than `SPANS_OF_A_KIND` weigh less, so
+that together they weigh as much as so many, and a common kind does not outweigh a rare one.  The trees are grown on sums
+over all rows, added up by the tasks.  Base spans and the same data rewritten in
+the other forms are true; failing spans, rewritten spans with digits changed until they fail, and other readings that overlap
 a rewritten span and other groups of digits (days, amounts, card numbers that fail) are false.  A kind with fewer than `MADE_UP` base spans is filled up with made-up ones, so that no kind is
 left out because a table is small or a kind rare; should a threshold still lack rows it is `FIXED_CUT`.
 Numbers are put beside some of the true spans, so that a number that follows does not by itself speak against one.
@@ -19,21 +21,22 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.llm.boosting import Boosted, provable, threshold
+from shoplake.llm.boosting import ONE, Boosted, coded, provable, threshold
+from shoplake.llm.common import saved
 from shoplake.llm.spans import SPANS, in_order
 
 KINDS = ("email", "ip", "card", "phone")
-SPANS_OF_A_KIND = 1000  # distinct spans the trees learn from, of each kind, true and false ones each
-SPANS_OF_A_TEXT = 50  # of these, at most so many of one text, those of least hash
+SPANS_OF_A_KIND = 1000  # what the distinct spans of a kind weigh together at most, true and false ones each
+SPANS_OF_A_TEXT = 50  # in a sample to look at, at most so many spans of one text, those of least hash
 MADE_UP = 200  # made-up spans that every kind learns from beside its own
 PRECISION = 0.98
 LEAST_CUT = 0.5  # what the trees rather take for false is never selected, however well the held-out rows are told apart
@@ -315,6 +318,11 @@ def _made_up(kind: str, i: int) -> tuple[str, Span]:
     return f"{before}{body}{rng.choice(['.', ',', ''])} {word()} {word()}", (kind, len(before), len(before) + len(body))
 
 
+def _scores(trees: Boosted, x: np.ndarray) -> np.ndarray:
+    """In steps of 0.0001, so that there are few to choose a threshold from."""
+    return np.round(trees.predict(x), 4)
+
+
 @dataclass(frozen=True)
 class Model:
     trees: Boosted
@@ -326,7 +334,7 @@ class Model:
         wide = [s for s in proposals(text, base) if self.cuts[s[0]] <= 1]
         if not wide:
             return base, []
-        scores = self.trees.predict(np.array([features(text, s) for s in wide], float))
+        scores = _scores(self.trees, np.array([features(text, s) for s in wide], float))
         chosen: list[Span] = []
         for p, s in sorted(zip(scores, wide), key=lambda x: (x[1][1] - x[1][2], -x[0], x[1])):
             if p >= self.cuts[s[0]] and not any(a < s[2] and s[1] < b for _, a, b in chosen):
@@ -334,11 +342,16 @@ class Model:
         return base, chosen
 
 
+def _hashed(text: str) -> Iterator[tuple[Span, bool, int]]:
+    """The candidates, and a hash of what is written there."""
+    for span, true in _candidates(text):
+        yield span, true, xxhash.xxh64_intdigest(f"{span[0]} {text[span[1] : span[2]]}") >> 1
+
+
 def _least(text: str) -> Iterator[tuple[Span, bool, int]]:
     """Of the candidates of each kind and truth, `SPANS_OF_A_TEXT` distinct ones of least hash, with all their places."""
     groups: dict[tuple[str, bool], dict[int, list[Span]]] = {}
-    for span, true in _candidates(text):
-        h = xxhash.xxh64_intdigest(f"{span[0]} {text[span[1] : span[2]]}") >> 1
+    for span, true, h in _hashed(text):
         groups.setdefault((span[0], true), {}).setdefault(h, []).append(span)
     for (_, true), places in groups.items():
         for h in sorted(places)[:SPANS_OF_A_TEXT]:
@@ -346,62 +359,168 @@ def _least(text: str) -> Iterator[tuple[Span, bool, int]]:
 
 
 _DRAWS = 1 << 20
+_AT_ONCE = 10_000  # rows that a task holds before it passes them on
 
 
 def _drawn(docs: DataFrame, text_col: str, bounds: dict[tuple[str, bool], int] | None = None) -> DataFrame:
-    """kind, truth and hash of the candidates of all texts; with bounds those below their bound, with the text around."""
+    """The distinct candidates of all texts, with the text around; with bounds the least of each text, below their bound."""
 
     def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def passed_on(out: Iterable[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*out)) or [()] * 6
+            types = (pa.string(), pa.bool_(), pa.int64(), pa.string(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["kind", "true", "h", "text", "start", "end"])
+
         for b in batches:
             out: dict[tuple, None] = {}
             for t in b.column(0):
                 text = t.as_py()
-                for (kind, start, end), true, h in _least(text):
-                    if bounds is None:
-                        out[kind, true, h, "", 0, 0] = None
-                    elif h % _DRAWS < bounds.get((kind, true), 0):
+                for (kind, start, end), true, h in _hashed(text) if bounds is None else _least(text):
+                    if bounds is None or h % _DRAWS < bounds.get((kind, true), 0):
                         first = max(0, start - AROUND)
                         out[kind, true, h, text[first : end + AROUND], start - first, end - first] = None
-            columns = list(zip(*out)) or [()] * 6
-            types = (pa.string(), pa.bool_(), pa.int64(), pa.string(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["kind", "true", "h", "text", "start", "end"])
+                    if len(out) >= _AT_ONCE:
+                        yield passed_on(out)
+                        out.clear()
+            yield passed_on(out)
 
     text = F.col(text_col)
-    return docs.where(text.rlike("[0-9@]")).select(text).mapInArrow(
+    rows = docs.where(text.rlike("[0-9@]")).select(text).mapInArrow(
         draw, "kind string, true boolean, h long, text string, start int, end int"
     )
+    # Of the places of a span the one with the least text around, so that the choice hangs on the data alone.
+    place = F.min(F.struct("text", "start", "end")).alias("place")
+    return rows.groupBy("kind", "true", "h").agg(place).select("kind", "true", "h", "place.*")
 
 
 def training_spans(docs: DataFrame, sample: int = SPANS_OF_A_KIND, text_col: str = "text") -> list[tuple[str, Span, bool, int]]:
-    """Texts with a span each, whether it is true, and its hash: about `sample` of each kind and truth, and made-up ones."""
-    sizes = _drawn(docs, text_col).groupBy("kind", "true").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()
+    """A sample to look at of what `trained` learns from: texts with a span each, whether it is true, and its hash.
+
+    About `sample` spans of each kind and truth, and made-up ones.
+    """
+    every = {(k, t): _DRAWS for k in KINDS for t in (True, False)}
+    sizes = _drawn(docs, text_col, every).groupBy("kind", "true").agg(F.count("h").alias("n")).collect()
     bounds = {(r.kind, r.true): _DRAWS if r.n <= sample else int(sample / r.n * _DRAWS) for r in sizes}
-    # Of the places of a span the one with the least text around, so that the choice hangs on the data alone.
-    place = F.min(F.struct("text", "start", "end")).alias("place")
-    rows = _drawn(docs, text_col, bounds).groupBy("kind", "true", "h").agg(place).select("kind", "true", "h", "place.*").toArrow()
+    rows = _drawn(docs, text_col, bounds).toArrow()
     out = [(r["text"], (r["kind"], r["start"], r["end"]), r["true"], r["h"]) for r in rows.to_pylist()]
     for kind in KINDS:
         out += [(*_made_up(kind, i), True, i) for i in range(min(MADE_UP, sample))]
     return sorted(out, key=lambda r: (r[1][0], r[2], r[3]))
 
 
-def trained(docs: DataFrame, sample: int = SPANS_OF_A_KIND, text_col: str = "text") -> Model:
-    """Trees from a bounded sample of spans; the rows of one span in three, of each kind, set the thresholds."""
-    x, y, kinds, held = [], [], [], []
-    for i, (text, span, true, h) in enumerate(training_spans(docs, sample, text_col)):
-        more = training_rows(text, span, true, h)
-        x += more[0]
-        y += more[1]
-        kinds += more[2]
-        held += [i % 3 == 0] * len(more[0])
-    x, y, kinds, held = np.array(x, float), np.array(y, float), np.array(kinds), np.array(held)
-    trees = Boosted().fit(x[~held], y[~held])
-    p, y, kinds = trees.predict(x[held]), y[held], kinds[held]
-    cuts = {}
+def learning_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The training rows of all distinct spans and of the made-up ones, one span in three held out to set the thresholds.
+
+    `part` tells kind and truth of the span, -1 for the made-up ones; `kind` and `y` are the row's own kind and truth, `x` its
+    features as doubles.  Equal rows come as one: `n` is their number, `spans` that of the spans that they are the first row of.
+    """
+
+    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.int32(), pa.bool_(), pa.bool_(), pa.string(), pa.bool_(), pa.binary())
+        for b in batches:
+            out: list[tuple] = []
+            for kind, true, h, text, start, end, made in zip(*(c.to_pylist() for c in b.columns)):
+                part = -1 if made else 2 * KINDS.index(kind) + true
+                for i, (x, y, of) in enumerate(zip(*training_rows(text, (kind, start, end), true, h))):
+                    out.append((part, i == 0, h % 3 == 0, of, bool(y), np.array(x, float).tobytes()))
+                if len(out) >= _AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+    names = ["part", "first", "held", "kind", "y", "x"]
+    made = [(k, True, i, text, span[1], span[2]) for k in KINDS for i in range(MADE_UP) for text, span in [_made_up(k, i)]]
+    spans = _drawn(docs, text_col)
+    given = docs.sparkSession.createDataFrame(made, spans.schema)
+    spans = spans.withColumn("made", F.lit(False)).unionAll(given.withColumn("made", F.lit(True)))
+    # A span is small, but what is made of it takes a millisecond: dealt by number, not by bytes.
+    spans = spans.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism, "h")
+    rows = spans.mapInArrow(learn, "part int, first boolean, held boolean, kind string, y boolean, x binary")
+    return rows.groupBy("part", "held", "kind", "y", "x").agg(F.count("x").alias("n"), F.count_if("first").alias("spans"))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), float).reshape(len(column), -1)
+
+
+def _weights(part: pa.Array, n: pa.Array, sizes: dict[int, int]) -> np.ndarray:
+    """Whole numbers, `ONE` for a weight of 1."""
+    each = [max(1, ONE * SPANS_OF_A_KIND // max(SPANS_OF_A_KIND, sizes.get(p, 0))) for p in part.to_pylist()]
+    return np.array(each, np.int64) * n.to_numpy()
+
+
+def _feature_cuts(rows: DataFrame, sizes: dict[int, int], bins: int) -> list[np.ndarray]:
+    """The quantiles of each feature over all rows, by weight: values that end one of `bins` parts of equal weight."""
+
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = _weights(b.column(0), b.column(1), sizes)
+            for f, x in enumerate(_matrix(b.column(2)).T if len(w) else ()):
+                values, at = np.unique(x, return_inverse=True)
+                total = np.zeros(len(values), np.int64)
+                np.add.at(total, at, w)
+                yield pa.RecordBatch.from_arrays([pa.array([f] * len(values), pa.int32()), pa.array(values), pa.array(total)], ["f", "v", "w"])
+
+    by_feature = Window.partitionBy("f")
+    up_to = F.sum("w").over(by_feature.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    counts = rows.select("part", "n", "x").mapInArrow(counted, "f int, v double, w long").groupBy("f", "v").agg((F.sum("w") / ONE).alias("w"))
+    sums = counts.select("f", "v", "w", up_to.alias("s"), F.sum("w").over(by_feature).alias("total"))
+    below, after = F.ceil((F.col("s") - F.col("w")) * bins / F.col("total")), F.floor(F.col("s") * bins / F.col("total"))
+    found = sums.where(F.greatest(below, F.lit(1)) <= F.least(after, F.lit(bins - 1))).select("f", "v").collect()
+    cuts: list[list[float]] = [[] for _ in range(1 + max((r.f for r in found), default=-1))]
+    for r in found:
+        cuts[r.f].append(r.v)
+    return [np.array(sorted(c)) for c in cuts]
+
+
+def _blocks(rows: DataFrame, sizes: dict[int, int], cuts: Sequence[np.ndarray]) -> DataFrame:
+    """Many rows in one: bins of the features, truth, weight, number."""
+
+    def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                n, y = b.column(1).to_numpy().astype(float), np.array(b.column(3).to_pylist(), float)
+                columns = coded(_matrix(b.column(2)), cuts), y, _weights(b.column(0), b.column(1), sizes) / ONE, n
+                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], names)
+
+    names = ["codes", "y", "w", "n"]
+    return rows.select("part", "n", "x", "y").mapInArrow(packed, ", ".join(f"{n} binary" for n in names))
+
+
+def _held_scores(rows: DataFrame, sizes: dict[int, int], trees: Boosted) -> DataFrame:
+    """Weight of the rows of each kind, score and truth."""
+
+    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                p, w = pa.array(_scores(trees, _matrix(b.column(2)))), pa.array(_weights(b.column(0), b.column(1), sizes))
+                yield pa.RecordBatch.from_arrays([b.column(3), b.column(4), p, w], ["kind", "y", "p", "w"])
+
+    rows = rows.select("part", "n", "x", "kind", "y").mapInArrow(scored, "kind string, y boolean, p double, w long")
+    return rows.groupBy("kind", "y", "p").agg(F.sum("w").alias("w"))
+
+
+def trained(docs: DataFrame, text_col: str = "text") -> Model:
+    """Trees from all distinct spans of all texts; the rows of one span in three set the thresholds."""
+    rows = saved(learning_rows(docs, text_col), "learning_rows")
+    sizes = {r.part: r.n for r in rows.where("part >= 0").groupBy("part").agg(F.sum("spans").alias("n")).collect()}
+    learned, held = rows.where("not held"), rows.where("held")
+    trees = Boosted()
+    cuts = _feature_cuts(learned, sizes, trees.bins)
+    blocks = saved(_blocks(learned, sizes, cuts), "learning_blocks").rdd.map(
+        lambda r: (np.frombuffer(r.codes, np.uint8).reshape(-1, len(cuts)), *map(np.frombuffer, (r.y, r.w, r.n)))
+    )
+    trees.fit_blocks(blocks, cuts)
+    # At most 10,001 scores of each kind and truth, however many rows were held.
+    scores = _held_scores(held, sizes, trees).toArrow()
+    kinds, y, p, w = (scores.column(c).to_numpy() for c in ("kind", "y", "p", "w"))
+    y, w, cuts_of = y.astype(float), w / ONE, {}
     for k in KINDS:
         of = kinds == k
-        cuts[k] = max(LEAST_CUT, threshold(p[of], y[of], PRECISION)) if provable(int(y[of].sum()), PRECISION) else FIXED_CUT
-    return Model(trees, cuts)
+        enough = provable((y * w)[of].sum(), PRECISION)
+        cuts_of[k] = max(LEAST_CUT, threshold(p[of], y[of], PRECISION, w[of])) if enough else FIXED_CUT
+    return Model(trees, cuts_of)
 
 
 def found(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

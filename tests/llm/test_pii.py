@@ -3,10 +3,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shoplake.llm import pii
-from shoplake.llm.boosting import Boosted, threshold
+from shoplake.llm.boosting import ONE, Boosted, coded, threshold
 from shoplake.llm.queries import op7_boosted_pii
 from shoplake.llm.spans import digests
 
@@ -205,3 +206,37 @@ def test_every_kind_learns_from_the_same_made_up_spans(spark):
         spans = pii.training_spans(spark.createDataFrame(given, "doc_id long, text string"))
         made = [(t, s) for t, s, true, h in spans if true and h < pii.MADE_UP]
         assert {k: sum(s[0] == k for _, s in made) for k in pii.KINDS} == dict.fromkeys(pii.KINDS, pii.MADE_UP)
+
+
+def test_learns_from_every_span(spark):
+    """Many spans of a kind, and many in one text, all count; together they weigh no more than `SPANS_OF_A_KIND`."""
+    docs = [(i, f"call +1 (456) 555-{i:04d} now") for i in range(2500)]
+    docs += [(i, f"call +1 (456) 555-{i:04d} now") for i in range(100)] + [(9, " ".join(f"10.0.{k // 200}.{k % 200}," for k in range(400)))]
+    rows = pii.learning_rows(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).toArrow().to_pylist()
+    of = lambda kind, true: 2 * pii.KINDS.index(kind) + true
+    spans = {p: sum(r["spans"] for r in rows if r["part"] == p) for p in {r["part"] for r in rows}}
+    assert (spans[of("phone", True)], spans[of("ip", True)], spans[-1]) == (2500, 400, pii.MADE_UP * len(pii.KINDS))
+    first = pa.array([of("phone", True), of("ip", True), -1])
+    weights = pii._weights(first, pa.array([2500, 400, 7]), spans) / ONE
+    assert weights == pytest.approx([pii.SPANS_OF_A_KIND, 400, 7])
+
+
+def test_trees_do_not_hang_on_how_rows_lie(spark):
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 9, size=(3000, 4)).astype(float)
+    y = ((x[:, 0] > 4) ^ (x[:, 3] > 2)).astype(float)
+    cuts = [np.arange(8.0)] * 4
+    n = np.ones(len(y))
+    grown = []
+    for parts in (1, 3, 7):
+        blocks = [(coded(x[i], cuts), y[i], n[i], n[i]) for i in np.array_split(rng.permutation(len(y)), 3 * parts)]
+        grown.append(Boosted().fit_blocks(spark.sparkContext.parallelize(blocks, parts), cuts))
+    here = Boosted().fit(x, y)
+    assert grown[0] == grown[1] == grown[2] and grown[0].nodes == here.nodes
+    assert ((here.predict(x) > 0.5) == y).mean() == 1
+
+
+def test_thresholds_from_counted_rows():
+    p, y, w = np.array([0.9, 0.9, 0.4, 0.4]), np.array([1.0, 0, 1, 0]), np.array([99.0, 1, 50, 50])
+    whole = threshold(np.repeat(p, w.astype(int)), np.repeat(y, w.astype(int)), 0.98)
+    assert threshold(p, y, 0.98, w) == whole == 0.9
