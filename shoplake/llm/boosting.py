@@ -1,8 +1,8 @@
 """Gradient-boosted trees for a yes-or-no question, small enough to be sent to every task.
 
 They are grown on sums: each block of rows adds up its gradients by node, feature and bin, blocks are added to each other by
-the tasks, and the driver, which sees nothing else, chooses the splits.  The sums are whole numbers, so that they, and
-the trees, do not hang on how the rows lie in blocks.
+the tasks (those of few partitions by the driver), and the driver, which sees nothing else, chooses the splits.  The sums are
+whole numbers, so that they, and the trees, do not hang on how the rows lie in blocks.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import numpy as np
 from pyspark import RDD, StorageLevel
 
 ONE = 1 << 30  # a gradient of 1 in the sums
+DIRECT = 64  # partitions whose sums (about 100 KB each) go straight to the driver; those of more are added up by tasks first
 AFRESH = 10  # trees after which the rows' scores are stored anew; those of later trees are worked out on the way
 
 Tree = list[tuple]  # of nodes (feature or -1, cut, low child, high child, value)
@@ -80,7 +81,10 @@ class _Here(list):
     def map(self, f: Callable) -> _Here:
         return _Here(map(f, self))
 
-    def treeReduce(self, f: Callable) -> np.ndarray:  # noqa: N802
+    def getNumPartitions(self) -> int:  # noqa: N802
+        return 1
+
+    def reduce(self, f: Callable) -> np.ndarray:
         return reduce(f, self)
 
     def persist(self, _: StorageLevel) -> _Here:
@@ -90,6 +94,11 @@ class _Here(list):
         pass
 
 
+def _added(sums: RDD[np.ndarray]) -> np.ndarray:
+    """The sum over all blocks.  A tree takes one for each level, so few partitions are not shuffled for it."""
+    return sums.reduce(np.add) if sums.getNumPartitions() <= DIRECT else sums.treeReduce(np.add)
+
+
 @dataclass
 class Boosted:
     """Logistic loss, trees of a fixed depth over at most `bins` bins of each feature, Newton leaves."""
@@ -112,7 +121,7 @@ class Boosted:
 
     def fit_blocks(self, blocks: RDD[Block], cuts: Sequence[np.ndarray]) -> Boosted:
         """From all rows of all blocks, their features told in bins between the cuts; sums alone come to the driver."""
-        weight, true = blocks.map(_totals).treeReduce(np.add) / ONE
+        weight, true = _added(blocks.map(_totals)) / ONE
         mean = np.clip(true / weight if weight else 0.5, 1e-3, 1 - 1e-3)
         self.start, self.nodes = float(np.log(mean / (1 - mean))), []
         grown: list[Tree] = []  # their cuts told in bins
@@ -135,9 +144,9 @@ class Boosted:
         level = [0]
         bins = max(map(len, cuts), default=0) + 1
         for depth in range(self.depth):
-            sums = scored.map(
-                partial(_sums, trees=list(trees), tree=list(tree), level=level, steps=self.depth, bins=bins)
-            ).treeReduce(np.add)
+            sums = _added(
+                scored.map(partial(_sums, trees=list(trees), tree=list(tree), level=level, steps=self.depth, bins=bins))
+            )
             below: list[int] = []
             for at, (g, h, n) in zip(level, sums.transpose(1, 0, 2, 3)):
                 if not depth:

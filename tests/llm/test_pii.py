@@ -5,8 +5,9 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import RDD
 
-from shoplake.llm import pii
+from shoplake.llm import boosting, pii
 from shoplake.llm.boosting import ONE, Boosted, coded, threshold
 from shoplake.llm.queries import op7_boosted_pii
 from shoplake.llm.spans import digests
@@ -240,3 +241,23 @@ def test_thresholds_from_counted_rows():
     p, y, w = np.array([0.9, 0.9, 0.4, 0.4]), np.array([1.0, 0, 1, 0]), np.array([99.0, 1, 50, 50])
     whole = threshold(np.repeat(p, w.astype(int)), np.repeat(y, w.astype(int)), 0.98)
     assert threshold(p, y, 0.98, w) == whole == 0.9
+
+
+def test_sums_of_few_partitions_are_not_shuffled(spark, monkeypatch):
+    """A tree takes a job for each level, so a shuffle in each of them costs more than the work itself."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 9, (3000, 4)).astype(float)
+    y = (x[:, 0] + x[:, 1] > 8).astype(float)
+    cuts = [np.arange(8.0)] * 4
+    blocks = [(coded(x[i::24], cuts), y[i::24], *[np.ones(len(y[i::24]))] * 2) for i in range(24)]
+    many = Boosted(trees=2)
+    with monkeypatch.context() as m:
+        m.setattr(boosting, "DIRECT", 4, raising=False)
+        many.fit_blocks(spark.sparkContext.parallelize(blocks, 24), cuts)
+
+    def shuffled(*_):
+        raise AssertionError("a shuffle for a few partitions")
+
+    monkeypatch.setattr(RDD, "partitionBy", shuffled)
+    few = Boosted(trees=2).fit_blocks(spark.sparkContext.parallelize(blocks, 24), cuts)
+    assert few.nodes == many.nodes and len(few.nodes[0]) > 1
