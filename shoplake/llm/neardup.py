@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import near, saved
+from shoplake.llm.common import mapped, near, saved
 from shoplake.llm.components import components, thinned
 
 WORDS = 5
@@ -127,7 +127,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "set_id", "sketch"])
 
     rows = docs.select("doc_id", "text_hash", "text")
-    return rows.mapInArrow(sketch, "doc_id long, text_hash long, n_shingles long, set_id binary, sketch binary")
+    return mapped(rows, sketch, "doc_id long, text_hash long, n_shingles long, set_id binary, sketch binary")
 
 
 def _banded(nodes: DataFrame) -> DataFrame:
@@ -140,7 +140,7 @@ def _banded(nodes: DataFrame) -> DataFrame:
                 keys, node = band_keys(sketches).reshape(-1), np.repeat(b.column(0).to_numpy(), BANDS)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node)], ["key", "node"])
 
-    return nodes.select("node", "sketch").mapInArrow(band, "key long, node long")
+    return mapped(nodes.select("node", "sketch"), band, "key long, node long")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -154,7 +154,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     docs = near(docs, nodes.select("doc_id", "text_hash"))
     same = docs["doc_id"].eqNullSafe(nodes["doc_id"]) & (docs["text_hash"] == nodes["text_hash"])
     texts = docs.join(nodes.select("node", "doc_id", "text_hash"), same).select("node", "text")
-    return texts.mapInArrow(build, "node long, hashes binary").dropDuplicates(["node"])
+    return mapped(texts, build, "node long, hashes binary").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     met = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return met.mapInArrow(confirm, "a long, b long")
+    return mapped(met, confirm, "a long, b long")
 
 
 def _stars(members: DataFrame) -> DataFrame:
@@ -260,7 +260,7 @@ def _crossing(members: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFra
         yield edges(joined)
 
     blocks = minor.join(every, ["key", "block"]).select("minor", "every")
-    return blocks.mapInArrow(compare, "a long, b long").distinct()
+    return mapped(blocks, compare, "a long, b long").distinct()
 
 
 def _linked(crossing: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -303,7 +303,7 @@ def _linked(crossing: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataF
                 if links:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
 
-    return pairs.mapInArrow(confirm, "a long, b long")
+    return mapped(pairs, confirm, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -342,7 +342,7 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 small = pa.array([r.tobytes() for r in small_registers(full)], pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), small], ["node", "n", "small"])
 
-    small = nodes.join(some, "node").select("node", "n", "sketch").mapInArrow(shrink, "node long, n long, small binary")
+    small = mapped(nodes.join(some, "node").select("node", "n", "sketch"), shrink, "node long, n long, small binary")
     small = saved(small, "small")
     crossing = saved(_crossing(members, comps, small), "crossing")
     more = saved(_linked(crossing, comps, small, sets), "links")

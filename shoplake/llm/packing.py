@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import saved
+from shoplake.llm.common import BATCH_BYTES, mapped, saved
 from shoplake.llm.tokens import encoder
 
 GROUPS = 128
@@ -172,14 +172,14 @@ def pieces(
                     rows.append((doc_id, piece, at // 4, n, cut, part, ranks[n]))
                     ranks[n] += 1
                     held += len(cut)
-                    if held > 16 << 20:
+                    if held > BATCH_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                         rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(cut, PIECES)
+    return mapped(rows, cut, PIECES)
 
 
 def placed(rows: DataFrame, size: int, groups: int = GROUPS, small: int = SMALL) -> DataFrame:
@@ -204,7 +204,7 @@ def placed(rows: DataFrame, size: int, groups: int = GROUPS, small: int = SMALL)
 
     kept = [c for c in rows.columns if c not in ("part", "rank")]
     schema = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in kept) + ", sequence_id long, offset long"
-    return rows.join(bases, ["part", "length"]).mapInArrow(look_up, schema)
+    return mapped(rows.join(bases, ["part", "length"]), look_up, schema)
 
 
 def packed(

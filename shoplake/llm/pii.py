@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplake.llm.boosting import ONE, Boosted, coded, provable, threshold
-from shoplake.llm.common import saved
+from shoplake.llm.common import mapped, saved
 from shoplake.llm.spans import SPANS, in_order
 
 KINDS = ("email", "ip", "card", "phone")
@@ -385,9 +385,8 @@ def _drawn(docs: DataFrame, text_col: str, bounds: dict[tuple[str, bool], int] |
             yield passed_on(out)
 
     text = F.col(text_col)
-    rows = docs.where(text.rlike("[0-9@]")).select(text).mapInArrow(
-        draw, "kind string, true boolean, h long, text string, start int, end int"
-    )
+    rows = docs.where(text.rlike("[0-9@]")).select(text)
+    rows = mapped(rows, draw, "kind string, true boolean, h long, text string, start int, end int")
     # Of the places of a span the one with the least text around, so that the choice hangs on the data alone.
     place = F.min(F.struct("text", "start", "end")).alias("place")
     return rows.groupBy("kind", "true", "h").agg(place).select("kind", "true", "h", "place.*")
@@ -436,7 +435,7 @@ def learning_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
     spans = spans.withColumn("made", F.lit(False)).unionAll(given.withColumn("made", F.lit(True)))
     # A span is small, but what is made of it takes a millisecond: dealt by number, not by bytes.
     spans = spans.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism, "h")
-    rows = spans.mapInArrow(learn, "part int, first boolean, held boolean, kind string, y boolean, x binary")
+    rows = mapped(spans, learn, "part int, first boolean, held boolean, kind string, y boolean, x binary")
     return rows.groupBy("part", "held", "kind", "y", "x").agg(F.count("x").alias("n"), F.count_if("first").alias("spans"))
 
 
@@ -464,7 +463,7 @@ def _feature_cuts(rows: DataFrame, sizes: dict[int, int], bins: int) -> list[np.
 
     by_feature = Window.partitionBy("f")
     up_to = F.sum("w").over(by_feature.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    counts = rows.select("part", "n", "x").mapInArrow(counted, "f int, v double, w long").groupBy("f", "v").agg((F.sum("w") / ONE).alias("w"))
+    counts = mapped(rows.select("part", "n", "x"), counted, "f int, v double, w long").groupBy("f", "v").agg((F.sum("w") / ONE).alias("w"))
     sums = counts.select("f", "v", "w", up_to.alias("s"), F.sum("w").over(by_feature).alias("total"))
     below, after = F.ceil((F.col("s") - F.col("w")) * bins / F.col("total")), F.floor(F.col("s") * bins / F.col("total"))
     found = sums.where(F.greatest(below, F.lit(1)) <= F.least(after, F.lit(bins - 1))).select("f", "v").collect()
@@ -485,7 +484,7 @@ def _blocks(rows: DataFrame, sizes: dict[int, int], cuts: Sequence[np.ndarray])
                 yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], names)
 
     names = ["codes", "y", "w", "n"]
-    return rows.select("part", "n", "x", "y").mapInArrow(packed, ", ".join(f"{n} binary" for n in names))
+    return mapped(rows.select("part", "n", "x", "y"), packed, ", ".join(f"{n} binary" for n in names))
 
 
 def _held_scores(rows: DataFrame, sizes: dict[int, int], trees: Boosted) -> DataFrame:
@@ -497,7 +496,7 @@ def _held_scores(rows: DataFrame, sizes: dict[int, int], trees: Boosted) -> Data
                 p, w = pa.array(_scores(trees, _matrix(b.column(2)))), pa.array(_weights(b.column(0), b.column(1), sizes))
                 yield pa.RecordBatch.from_arrays([b.column(3), b.column(4), p, w], ["kind", "y", "p", "w"])
 
-    rows = rows.select("part", "n", "x", "kind", "y").mapInArrow(scored, "kind string, y boolean, p double, w long")
+    rows = mapped(rows.select("part", "n", "x", "kind", "y"), scored, "kind string, y boolean, p double, w long")
     return rows.groupBy("kind", "y", "p").agg(F.sum("w").alias("w"))
 
 
@@ -540,7 +539,7 @@ def found(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(scan, f"doc_id long, base {SPANS}, spans {SPANS}")
+    return mapped(rows, scan, f"doc_id long, base {SPANS}, spans {SPANS}")
 
 
 def masked(text: str, spans: Iterable[Span]) -> str:
@@ -568,4 +567,4 @@ def redacted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 texts.append(masked(text, base + more) if base or more else text)
             yield batch.set_column(at, batch.schema.field(at).name, pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(mask, docs.schema)
+    return mapped(docs, mask, docs.schema)

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplake.llm.common import mapped
+
 SAMPLE = 20_000
 LEXICON = 5_000  # learned entries at most; the test lets through far fewer
 STARTS = (4, 5, 6, 7, 8)  # lengths of word beginnings that are learned beside whole words
@@ -236,7 +238,7 @@ def _mapped(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in keep) + ", features array<double>"
-    return rows.select(*keep, "text").mapInArrow(read, schema)
+    return mapped(rows.select(*keep, "text"), read, schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -284,4 +286,4 @@ def kept(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             x = np.array([grammar.features(t.as_py() or "") for t in b.column(at)], float).reshape(-1, FEATURES)
             yield b.filter(pa.array(model.score(x) < 0.5))
 
-    return docs.mapInArrow(drop, docs.schema)
+    return mapped(docs, drop, docs.schema)

@@ -1,10 +1,11 @@
 import numpy as np
+import pyarrow as pa
 import test_decontaminate
 import test_neardup
 import test_packing
 
 import corpus_pipeline
-from shoplake.llm import pii, toxicity
+from shoplake.llm import common, pii, toxicity
 from shoplake.llm.common import saved, table, without
 
 
@@ -112,3 +113,26 @@ def test_clashing_and_unorderable_columns_nulls_and_repeats(spark, tmp_path):
     assert {r.doc_id: r.text for r in rows}[3] == "mail me: joe (at) mail [dot] org, <CARD>" or "<EMAIL>" in {r.doc_id: r.text for r in rows}[3]
     pieces = corpus_pipeline.pack(spark, docs, sf_dir).collect()
     assert {r.doc_id for r in pieces} == {1, 2, 3, 5, None}
+
+
+def test_batches_are_bounded_by_their_bytes(spark, tmp_path, monkeypatch):
+    """Long texts and sets do not go to a worker in batches of many times their length."""
+    monkeypatch.setattr(common, "BATCH_BYTES", 1 << 20)
+    spark.conf.unset(common._MOST_BYTES)
+    docs = spark.range(0, 40, 1, 1).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 40000) as text")
+    sf_dir = small_dir(spark, tmp_path, items=[("i", "none")])
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    try:
+        assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) > 4 << 20
+        for _, stage in FIRST[:2]:
+            spark.conf.unset(common._MOST_BYTES)
+            stage(spark, docs, sf_dir)
+            assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 2 << 20
+        spark.conf.set(common._MOST_BYTES, "8m")  # the user's bound stays
+        assert common.mapped(docs, sizes, "n long").collect()[0].n > 4 << 20
+    finally:
+        spark.conf.unset(common._MOST_BYTES)
