@@ -117,8 +117,9 @@ def test_clashing_and_unorderable_columns_nulls_and_repeats(spark, tmp_path):
 
 def test_batches_are_bounded_by_their_bytes(spark, tmp_path, monkeypatch):
     """Long texts and sets do not go to a worker in batches of many times their length."""
-    monkeypatch.setattr(common, "BATCH_BYTES", 1 << 20)
-    spark.conf.unset(common._MOST_BYTES)
+    most = "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(common, "BATCH_BYTES", 1 << 20, raising=False)
+    spark.conf.unset(most)
     docs = spark.range(0, 40, 1, 1).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 40000) as text")
     sf_dir = small_dir(spark, tmp_path, items=[("i", "none")])
 
@@ -129,10 +130,10 @@ def test_batches_are_bounded_by_their_bytes(spark, tmp_path, monkeypatch):
     try:
         assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) > 4 << 20
         for _, stage in FIRST[:2]:
-            spark.conf.unset(common._MOST_BYTES)
+            spark.conf.unset(most)
             stage(spark, docs, sf_dir)
             assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 2 << 20
-        spark.conf.set(common._MOST_BYTES, "8m")  # the user's bound stays
+        spark.conf.set(most, "8m")  # the user's bound stays
         assert common.mapped(docs, sizes, "n long").collect()[0].n > 4 << 20
     finally:
-        spark.conf.unset(common._MOST_BYTES)
+        spark.conf.unset(most)
