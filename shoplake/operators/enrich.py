@@ -60,7 +60,8 @@ def lookup_join(
         # Always 0, but not a literal: a literal would be folded out of the join keys.
         zero = f"pmod(xxhash64(`{dim_key}`), 1L) as _dim_salt"
         match = (F.col("_key") == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt"))
-        joined = fact.join(dim.selectExpr(*side, zero), match, "left")
+        # Compressed files say little about rows, so left to itself Spark would broadcast a large dimension of small files.
+        joined = fact.join(dim.selectExpr(*side, zero).hint("merge"), match, "left")
     return joined.selectExpr(*[f"`{c}`" for c in columns], *[f"`_dim_{out}` as `{out}`" for out in cols])
 
 

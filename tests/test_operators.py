@@ -337,3 +337,15 @@ def test_small_files_of_many_rows_are_not_broadcast(spark, tmp_path):
         joined = lookup_join(fact, dim, ("k", "id"), {"v": "v"})
         assert ("strategy=broadcast" in joined._jdf.queryExecution().optimizedPlan().toString()) == broadcast
         assert joined.where("v = 'x'").count() == 10
+
+
+def test_spark_does_not_broadcast_a_large_dimension_of_small_files(spark, tmp_path):
+    """Left to itself Spark goes by the size of the files, which is far below its threshold here."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    overwrite_snapshot(spark.range(500_000).withColumn("v", F.lit("x")), lake.path("dim.user_info"))
+    dim = lake.stored("dim.user_info")
+    assert sizing.input_bytes(dim) < 10 * sizing.MB
+    joined = lookup_join(spark.range(10).withColumnRenamed("id", "k"), dim, ("k", "id"), {"v": "v"})
+    assert joined.where("v = 'x'").count() == 10
+    plan = joined._jdf.queryExecution().executedPlan()
+    assert "SortMergeJoin" in plan.toString() and "BroadcastHashJoin" not in plan.toString()
