@@ -10,6 +10,7 @@ from shoplake.operators import files
 from shoplake.operators.lake import Lake
 from shoplake.operators.sinks import drop_expired
 from shoplake.plans import dws
+from shoplake.plans.warehouse import RULES
 from shoplake.streaming import Jobs
 from shoplake.streaming.jobs import await_all
 
@@ -494,3 +495,15 @@ def test_event_keys_leave_out_what_comes_again(jobs, spark, tmp_path):
     lost = Jobs(Lake(spark, jobs.lake.root, checkpoints=str(tmp_path / "new")), {"availableNow": True}, max_files=1)
     await_all([lost.ingest_log("log_error", str(src), Watermark("1 day"), event_key=key)])
     assert stored() == sorted([*want, ("d", "2024-01-01 10:00:00")])
+
+
+def test_many_users_do_not_pass_the_driver(jobs, spark):
+    """The files of the users are small, but each stream of the trade facts would send all rows through the driver."""
+    jobs.load_snapshot("user_info", spark.range(500_000).selectExpr("id", "'ann' as nick_name", "1 as user_level", "1 as gender"))
+    jobs.build_dims()
+    users = jobs._input("dim.user_info")
+    for table, others in (("order_info", ["dim.base_region"]), ("payment_info", []), ("refund_info", []), ("coupon_use", ["dim.coupon_info"])):
+        build, inputs = RULES[f"dwd.{table}"]
+        fact = spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in jobs._shape(inputs[0])))
+        plan = build(fact, users, *[jobs._input(d) for d in others])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == len(others)
