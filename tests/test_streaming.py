@@ -507,3 +507,24 @@ def test_many_users_do_not_pass_the_driver(jobs, spark):
         fact = spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in jobs._shape(inputs[0])))
         plan = build(fact, users, *[jobs._input(d) for d in others])._jdf.queryExecution().executedPlan().toString()
         assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == len(others)
+
+
+def test_old_images_are_not_enriched(jobs, tmp_path, monkeypatch):
+    """An update's old image stays in the raw log; the fact table takes its own row instead, so nothing is looked up for it."""
+    src, a, ops, fold = tmp_path / "order_info", order(1), [], Jobs._fold
+
+    def seen(self, name, changes, n, keys):
+        if name.startswith("dwd."):
+            ops.extend(r._op for r in changes.select("_op").collect())
+        fold(self, name, changes, n, keys)
+
+    monkeypatch.setattr(Jobs, "_fold", seen)
+    put(src, 1, [change("c", 1, None, a)])
+    put(src, 2, [change("u", 2, a, order(1, amount="12.00"))])
+    put(src, 3, [change("u", 3, order(1, amount="12.00"), order(1, amount="12.00", day="2024-01-02"))])
+    jobs.run_once({"order_info": str(src)}, {}, ["trade_user_stats"])
+    logged = [r._op for r in jobs.spark.read.orc(jobs.lake.changes("ods.order_info")).collect()]
+    assert sorted(logged) == ["B", "D", "U", "U", "U"] and sorted(ops) == ["D", "U", "U", "U"]
+    assert orders(jobs, "dwd.order_info") == [(1, 1, "2024-01-02", "12.00")]
+    rows = jobs.lake.stored("dws.trade_user_stats").collect()
+    assert [(str(r.dt), r.order_count, str(r.order_total_amount)) for r in rows] == [("2024-01-02", 1, "12.0000")]
